@@ -3,11 +3,12 @@
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.text import contains_text
+from ..session import Workspace
 
 DEFAULT_SORT = {"house": "price_asc", "plot": "plot_desc"}
 
@@ -90,6 +91,23 @@ def sort_keys(sort: str, as_of_ms: int = 0) -> list[Column]:
     return [first, F.col("seq").asc()]
 
 
+def positions(ordered: DataFrame) -> DataFrame:
+    """Adds the place (from 1) of each row of an ordered listing, without one global window.
+
+    Rows are numbered inside their range partition; the offsets come from one count
+    per partition, so that list is as long as the number of partitions.
+    """
+    at = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    workspace = Workspace(ordered.sparkSession, "positions")
+    numbered = workspace.table("rows", ordered.withColumns({"_part": F.spark_partition_id(), "_at": at}))
+    sizes = numbered.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    return numbered.join(F.broadcast(offsets), "_part").select(
+        *ordered.columns, (F.col("_before") + F.col("_at") + 1).alias("position")
+    )
+
+
 def reset() -> ListingQuery:
     """The query with every parameter at its default."""
     return ListingQuery()

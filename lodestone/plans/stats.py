@@ -10,11 +10,17 @@ from ..functions.text import link_key
 def stats_bar(listings: DataFrame) -> DataFrame:
     """Total, sources, with photo, average asking price (half up, 0 when none), districts."""
     has_image = F.coalesce(F.col("image") != "", F.lit(False))
-    return listings.agg(
-        F.count("*").alias("total"),
+    per_place = listings.groupBy("source", "district").agg(
+        F.count("*").alias("n"),
+        F.count_if(has_image).alias("photos"),
+        F.sum("price").alias("asked"),
+        F.count("price").alias("priced"),
+    )
+    return per_place.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.count_distinct("source").alias("sources"),
-        F.count_if(has_image).alias("with_photo"),
-        F.coalesce(F.floor(F.avg("price") + 0.5), F.lit(0)).cast("bigint").alias("avg_price"),
+        F.coalesce(F.sum("photos"), F.lit(0)).alias("with_photo"),
+        F.coalesce(F.floor(F.try_divide(F.sum("asked"), F.sum("priced")) + 0.5), F.lit(0)).cast("bigint").alias("avg_price"),
         F.count_distinct(F.nullif("district", F.lit(""))).alias("districts"),
     )
 
