@@ -23,13 +23,13 @@ LISTING = _struct(
 )
 
 BRONZE_JSON = _struct(
-    source=STR, kind=STR, partition=STR, page_no=INT, captured_at=T.TimestampType(), payload=STR,
+    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), payload=STR,
 )
 BRONZE_HTML = _struct(
-    source=STR, kind=STR, partition=STR, page_no=INT, captured_at=T.TimestampType(), url=STR, html=STR,
+    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), url=STR, html=STR,
 )
 CARD_TEXT = _struct(
-    source=STR, kind=STR, partition=STR, page_no=INT, pos=INT, id=STR, link=STR, txt=STR,
+    source=STR, kind=STR, partition=STR, page_no=LONG, pos=INT, id=STR, link=STR, txt=STR,
     title=STR, location=STR, priceText=STR, description=STR, image=STR, images=STRINGS,
     captured_at=T.TimestampType(),
 )
@@ -59,7 +59,7 @@ POST_PAGE = T.ArrayType(POST)
 
 # `seq` packs the place of a card in the capture: source, partition, page, position.
 SEQ_BITS = 55
-_PART_BITS, _PAGE_BITS, _POS_BITS = 4, 30, 15
+_PART_BITS, _PAGE_BITS, _POS_BITS = 4, 35, 10
 
 
 def capture_seq(source_order: int, part_order: Column, page_no: Column, pos: Column) -> Column:
