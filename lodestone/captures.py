@@ -13,9 +13,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import fixed
+from .plans import refresh
 from .schema import CARD_TEXT
-from .sources import extract, proxies
+from .session import Workspace
+from .sources import extract, proxies, readers
 from .sources.specs import specs
+from .streaming import ingest
 
 OUT = (
     "source", "kind", "ref", "title", "price", "priceDisplay", "location", "district", "image", "link", "houseSqm",
@@ -76,7 +79,7 @@ def capture(spark: SparkSession, sf_dir: str, registry: str, kind: str) -> DataF
         (m.pick(partitions, m.k) if partitions else F.lit("")).alias("partition"), (m.k + 1).alias("page_no"),
         F.timestamp_seconds(F.lit(1700000000)).alias("captured_at"),
     ]
-    rows = proxies.houses(spark, sf_dir)
+    rows = proxies.spread(proxies.houses(spark, sf_dir), "seq")
     if form == CARD:
         unique = registry not in ("Altamira",)
         copies = [(0, price), (1, second)] if unique else [(0, price)]
@@ -107,9 +110,7 @@ def listings(spark: SparkSession, sf_dir: str, registry: str, kind: str) -> Data
     spec = specs(kind, registry)[0]
     taxonomy = terms(spark, sf_dir) if FORMS[registry][0] == POST else None
     cards = extract.cards(spec, capture(spark, sf_dir, registry, kind), taxonomy, cap_pages=False)
-    return extract.listings_of(cards).select(
-        *OUT, F.when(F.col("images").isNotNull(), F.size("images")).alias("n_images")
-    )
+    return shown(extract.listings_of(cards))
 
 
 def query_name(registry: str, kind: str) -> str:
@@ -121,6 +122,49 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def query(registry: str, kind: str):
         return lambda spark, sf_dir: listings(spark, sf_dir, registry, kind)
 
-    return {
+    out = {
         query_name(spec.registry, kind): query(spec.registry, kind) for kind in ("house", "plot") for spec in specs(kind)
     }
+    return out | {"stream_refresh": stream_refresh, "refresh_plots": refresh_plots, "snapshot_publish": snapshot_publish}
+
+
+def shown(listings: DataFrame) -> DataFrame:
+    return listings.select(*OUT, F.when(F.col("images").isNotNull(), F.size("images")).alias("n_images"))
+
+
+def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1: captures arrive as files, a stream types them, the snapshot is published again."""
+    work = Workspace(spark, "stream-refresh")
+    work.table("bronze", capture(spark, sf_dir, "Bazaraki", "plot"))
+    ingest.ingest_cards(
+        spark, "plot", "json", f"{work.path}/bronze", f"{work.path}/silver", f"{work.path}/checkpoint",
+        cap_pages=False, max_files=4,
+    ).awaitTermination()
+    ingest.republish(spark, "plot", f"{work.path}/silver", f"{work.path}/snapshot", run=1)
+    return shown(refresh.latest(spark, f"{work.path}/snapshot"))
+
+
+def plot_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Captures of all plot sources, in their bronze tables."""
+    bronze: dict[str, DataFrame] = {}
+    for spec in specs("plot"):
+        pages = capture(spark, sf_dir, spec.registry, "plot")
+        bronze[spec.bronze] = bronze[spec.bronze].unionByName(pages) if spec.bronze in bronze else pages
+    return bronze
+
+
+def refresh_plots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All plot sources extracted, united and deduplicated with the real priorities."""
+    out = refresh.refresh(spark, "plot", plot_bronze(spark, sf_dir), cap_pages=False)
+    return out.decisions.groupBy("source", "decision").agg(F.count("*").alias("n"))
+
+
+def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1 and SRC1: two runs published side by side, the newest one read back, once more through JSON."""
+    work = Workspace(spark, "publish")
+    rows = proxies.houses(spark, sf_dir)
+    refresh.publish(rows.where("price IS NULL"), f"{work.path}/snapshot", run=1)
+    refresh.publish(rows, f"{work.path}/snapshot", run=2)
+    readers.write_snapshot_json(refresh.latest(spark, f"{work.path}/snapshot"), f"{work.path}/json")
+    back = readers.snapshot_json(spark, f"{work.path}/json")
+    return back.drop("images", "agent", "status", "registration", "plotType", "zone")

@@ -571,7 +571,7 @@ def _detail_listings(spark: SparkSession, sf: str) -> DataFrame:
 def _detail_pages(spark: SparkSession, sf: str) -> DataFrame:
     """Two captures of a detail page per order with odd key; the newer one counts."""
     k = col("o_orderkey")
-    first = table(spark, sf, "orders").where(k % 2 == 1)
+    first = proxies.spread(table(spark, sf, "orders").where(k % 2 == 1), "o_orderkey")
     both = first.withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
     land, home, baths, year = 100 + k % 900 + col("v"), 50 + k % 300, k % 4, 1795 + k % 320
     source = pick(DETAIL_SOURCES, k)
@@ -759,7 +759,7 @@ def _notice_items(spark: SparkSession, sf: str) -> DataFrame:
     rows = F.array(
         *[F.struct(F.lit(i).alias("item_no"), s.alias("s"), F.lit(x).alias("x"), F.lit(y).alias("y")) for i, s, x, y in cells]
     )
-    return table(spark, sf, "orders").select(
+    return proxies.spread(table(spark, sf, "orders"), "o_orderkey").select(
         k.cast("string").alias("code"), F.lit(1).alias("page"), F.explode(rows).alias("i")
     ).select("code", "page", "i.*")
 

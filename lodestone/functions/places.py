@@ -26,8 +26,13 @@ def _first(tests: Iterable[tuple[Column, str]]) -> Column:
     return F.coalesce(*[F.when(test, F.lit(value)) for test, value in tests])
 
 
+def _holds(text: Column, word: str, pattern: str) -> Column:
+    """Pattern test behind a literal test: most texts do not hold the word at all."""
+    return F.contains(F.lower(text), F.lit(word.lower())) & has(text, pattern)
+
+
 def _words(text: Column, names: Mapping[str, str]) -> Column:
-    return _first((has(text, rf"(?i)\b{name}\b"), value) for name, value in names.items())
+    return _first((_holds(text, name, rf"(?i)\b{name}\b"), value) for name, value in names.items())
 
 
 _SELF = {d: d for d in DISTRICTS}
@@ -51,7 +56,7 @@ def by_first_segment(text: Column, areas: Mapping[str, str], transliterate: bool
     picks = [_words(text, _SELF)]
     if transliterate:
         picks.append(_words(text, DISTRICT_TRANSLITERATED))
-    picks.append(_first((F.startswith(first, F.lit(a)), d) for a, d in areas.items()))
+    picks.append(_first((F.contains(text, F.lit(a)) & has(text, rf"^\s*{a}"), d) for a, d in areas.items()))
     return F.coalesce(*picks, blank_to_null(first))
 
 
@@ -60,7 +65,7 @@ def by_last_segment(text: Column, areas: Mapping[str, str]) -> Column:
     text = F.coalesce(text, F.lit(""))
     return F.coalesce(
         _words(text, _SELF),
-        _first((has(text, rf"(?i)\b{a}"), d) for a, d in areas.items()),
+        _first((_holds(text, a, rf"(?i)\b{a}"), d) for a, d in areas.items()),
         blank_to_null(trim(last(F.split(text, ",")))),
     )
 

@@ -13,6 +13,7 @@ _BOUNDARY = r"(?:(?<=\w)(?!\w)|(?<!\w)(?=\w))"
 def rx(pattern: str) -> str:
     """Java form of a pattern: wide ``\\s``, ASCII ``\\b``, ``$`` only at the very end."""
     out, i, in_class = [], 0, False
+    pattern = pattern.replace(r"[\s\S]", "(?s:.)")
     while i < len(pattern):
         pair = pattern[i : i + 2]
         if pair == r"\s":

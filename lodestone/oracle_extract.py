@@ -2,7 +2,7 @@
 
 from . import captures, fixed
 from .captures import CITIES, PLACES, TITLES
-from .oracle import HOUSES, pick
+from .oracle import HOUSES, houses, pick
 
 TYPES = {
     "price": "DOUBLE", "houseSqm": "DOUBLE", "plotSqm": "DOUBLE", "beds": "INTEGER", "baths": "INTEGER",
@@ -262,4 +262,8 @@ def sql() -> dict[str, str]:
             ("Cyprus Properties", cyprus_properties), ("EstateBud-WP agencies", nch),
         ):
             out[(registry, kind)] = build(kind)
-    return {captures.query_name(registry, kind): text for (registry, kind), text in out.items()}
+    named = {captures.query_name(registry, kind): text for (registry, kind), text in out.items()}
+    # One source with unique links: publishing keeps every extracted listing.
+    named["stream_refresh"] = named[captures.query_name("Bazaraki", "plot")]
+    named["snapshot_publish"] = houses("SELECT * FROM houses")
+    return named

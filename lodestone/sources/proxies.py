@@ -17,6 +17,17 @@ def instant(name: str) -> Column:
     return F.col(name).cast("timestamp")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Compact rows over all cores, before each of them grows into a page of text.
+
+    A table of one small file would be one task. The count is explicit because the
+    adaptive shuffle sizes partitions by bytes, and these rows are short but costly.
+    """
+    spark = rows.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    return rows.repartition(n, F.col(key))
+
+
 def null_every(n: int, c: Column, key: str = "o_orderkey") -> Column:
     return F.when(F.col(key) % n != 0, c)
 

@@ -9,9 +9,13 @@ from .. import fixed, schema
 from ..functions.text import blank_to_null, grab_all
 
 
-def snapshot_json(spark: SparkSession, path: str) -> DataFrame:
-    """A published snapshot kept as JSON, one array or one object per line."""
-    return spark.read.schema(schema.LISTING).option("multiLine", True).json(path)
+def snapshot_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
+    """A snapshot kept as JSON: one object per line, or one pretty-printed array.
+
+    An array file cannot be split and is read by one task; published snapshots
+    have one object per line.
+    """
+    return spark.read.schema(schema.LISTING).option("multiLine", array).json(path)
 
 
 def write_snapshot_json(listings: DataFrame, path: str) -> None:
@@ -30,21 +34,23 @@ def enrichment_cache(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(entries).alias("code", "entry")).select("code", "entry.*")
 
 
+def _each(df: DataFrame, array: Column, name: str, drop: tuple[str, ...]) -> DataFrame:
+    """One row per element. The outer form keeps Spark from inferring a filter that
+    would evaluate the array, a whole parse or split, a second and third time."""
+    keep = [c for c in df.columns if c not in drop]
+    return df.select(*keep, F.posexplode_outer(array).alias("pos", name)).where("pos IS NOT NULL")
+
+
 def json_items(pages: DataFrame, payload_type: T.DataType, items: str | None = None) -> DataFrame:
     """One row per item of each captured payload; a page that does not parse gives none."""
     parsed = F.from_json("payload", payload_type)
-    return pages.withColumn("_items", parsed[items] if items else parsed).select(
-        *[c for c in pages.columns if c != "payload"], F.posexplode("_items").alias("pos", "item")
-    )
+    return _each(pages, parsed[items] if items else parsed, "item", ("payload",))
 
 
 def html_cards(pages: DataFrame, marker: str, text: Column | None = None) -> DataFrame:
     """One row per block that follows a marker; what precedes the first marker is dropped."""
     blocks = F.split(F.col("html") if text is None else text, marker)
-    return pages.select(
-        *[c for c in pages.columns if c not in ("html", "payload")],
-        F.posexplode(F.slice(blocks, 2, 1 << 30)).alias("pos", "card"),
-    )
+    return _each(pages, F.slice(blocks, 2, 1 << 30), "card", ("html", "payload"))
 
 
 def html_of_payload(payload: Column) -> Column:
