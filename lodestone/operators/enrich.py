@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import labels, numbers as n, text as t
+from .skew import HOT_ROWS, HotKeys
 
 # --- detail pages ------------------------------------------------------------
 
@@ -118,7 +119,16 @@ def detail_fields(detail_html: DataFrame) -> DataFrame:
     )
 
 
-def merge_details(listings: DataFrame, details: DataFrame) -> DataFrame:
+def _join(rows: DataFrame, side: DataFrame, on: tuple[str, ...], n_rows: int | None, hot_rows: int) -> DataFrame:
+    """Left join of listings with a side that has one row per key. With the number of
+    rows known, hot keys are found and sliced; else skew is left to the adaptive join."""
+    hot = HotKeys(on, None) if n_rows is None else HotKeys.find(rows, on, n_rows, hot_rows)
+    return hot.left_join(rows, side, "seq")
+
+
+def merge_details(
+    listings: DataFrame, details: DataFrame, n_rows: int | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Left join by link with each source's merge policy; rows that cannot match skip the shuffle."""
     asks = F.coalesce(
         F.col("source").isin(*MERGE_POLICY)
@@ -126,7 +136,7 @@ def merge_details(listings: DataFrame, details: DataFrame) -> DataFrame:
         & (F.col("link") != fixed.SITES["Altamira Real Estate"]),
         F.lit(False),
     )
-    joined = listings.where(asks).join(details, ["source", "link"], "left")
+    joined = _join(listings.where(asks), details, ("source", "link"), n_rows, hot_rows)
     seen = F.col("d_seen").isNotNull()
     values = {}
     for field in DETAIL_FIELDS:
@@ -149,11 +159,13 @@ def merge_details(listings: DataFrame, details: DataFrame) -> DataFrame:
 CACHE_FIELDS = ("image", "images", "houseSqm", "plotSqm", "share", "propertyType", "registration")
 
 
-def merge_cache(listings: DataFrame, cache: DataFrame, source: str = "eAuction Cyprus") -> DataFrame:
+def merge_cache(
+    listings: DataFrame, cache: DataFrame, source: str = "eAuction Cyprus", n_rows: int | None = None, hot_rows: int = HOT_ROWS
+) -> DataFrame:
     """Left join of one source's listings with the cache by code; an unmatched row gets nulls."""
     own = F.col("source") == source
     facts = cache.select(F.col("code").alias("ref"), *[F.col(f).alias(f"c_{f}") for f in CACHE_FIELDS])
-    joined = listings.where(own).join(facts, "ref", "left")
+    joined = _join(listings.where(own), facts, ("ref",), n_rows, hot_rows)
     joined = joined.withColumns({f: F.col(f"c_{f}").cast(listings.schema[f].dataType) for f in CACHE_FIELDS})
     return joined.select(*listings.columns).unionByName(listings.where(F.coalesce(~own, F.lit(True))))
 
@@ -173,11 +185,19 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 MAX_LITERAL_TERMS = 1000
 
 
-def lookup_names(df: DataFrame, row_key: list[str], ids: Column, terms: DataFrame, out: str) -> DataFrame:
-    """Names for an array of ids, in id order; ids without a name are left out."""
+def lookup_names(
+    df: DataFrame, row_key: list[str], ids: Column, terms: DataFrame, out: str,
+    n_ids: int | None = None, hot_rows: int = HOT_ROWS,
+) -> DataFrame:
+    """Names for an array of ids, in id order; ids without a name are left out.
+
+    ``n_ids`` is the number of ids in all rows, where known: then hot terms are sliced.
+    """
     wide = df.select(*row_key, F.posexplode(ids).alias("_at", "term_id"))
+    hot = HotKeys(("term_id",), None) if n_ids is None else HotKeys.find(wide, ("term_id",), n_ids, hot_rows)
     named = (
-        wide.join(terms.select("term_id", "name"), "term_id")
+        hot.left_join(wide, terms.select("term_id", "name"), *row_key)
+        .where(F.col("name").isNotNull())
         .groupBy(*row_key)
         .agg(F.sort_array(F.collect_list(F.struct("_at", "name"))).alias("_named"))
         .select(*row_key, F.col("_named")["name"].alias(out))

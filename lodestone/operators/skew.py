@@ -34,16 +34,17 @@ class HotKeys:
         """The same keys, read back from a written table."""
         return self if self.keys is None else HotKeys(self.on, workspace.table(name, self.keys))
 
-    def left_join(self, rows: DataFrame, side: DataFrame, spread_by: str) -> DataFrame:
+    def left_join(self, rows: DataFrame, side: DataFrame, *spread_by: str) -> DataFrame:
         """``rows LEFT JOIN side``; slices of a hot key meet copies of its one side row.
 
-        Rows with a null key match nothing; they are spread evenly instead of
-        meeting in the one partition of the null key.
+        ``spread_by`` names columns that differ between rows of one key. Rows with a
+        null key match nothing; they are spread evenly instead of meeting in the one
+        partition of the null key.
         """
         on = list(self.on)
         if self.keys is None:
             return rows.join(side, on, "left")
-        mark = F.xxhash64(spread_by)
+        mark = F.xxhash64(*spread_by)
         slices = F.broadcast(self.keys)
         slot = F.when(_all_present(self.on), F.pmod(mark, F.coalesce("slices", F.lit(1)))).otherwise(
             F.pmod(mark, F.lit(1 << 16))

@@ -210,3 +210,27 @@ def test_proxy_source_health(spark, sf):
     registry = spark.createDataFrame([("1-URGENT",), ("nobody",)], "source string")
     rows = {r["source"]: r for r in stats.source_health(registry, proxies.houses(spark, sf), failed=("nobody",)).collect()}
     assert rows["1-URGENT"]["n"] > 0 and rows["1-URGENT"]["succeeded"] and not rows["nobody"]["succeeded"]
+
+
+def test_enrichment_with_hot_keys(spark):
+    """One link and one code hold most of the rows; the sliced join gives the same."""
+    rows = [dict(seq=i, source="Realting" if i % 3 else "eAuction Cyprus", link="hot" if i % 5 else f"l{i}", ref="hot" if i % 7 else None) for i in range(200)]
+    df = frame(spark, schema.LISTING, rows)
+    details = spark.createDataFrame(
+        [("Realting", link, *[float(j) for j in range(6)], True) for link in ("hot", "l10", "l20")],
+        "source string, link string, " + ", ".join(f"d_{f} double" for f in enrich.DETAIL_FIELDS) + ", d_seen boolean",
+    )
+    cache = frame(spark, schema.CACHE, [dict(code="hot", plotSqm=7.0)])
+    plain = enrich.merge_details(enrich.merge_cache(df, cache), details)
+    sliced = enrich.merge_details(enrich.merge_cache(df, cache, n_rows=200, hot_rows=10), details, n_rows=200, hot_rows=10)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, sliced.collect()))
+    assert plain.where("plotSqm = 7").count() == sum(1 for r in rows if r["source"].startswith("e") and r["ref"])
+
+
+def test_hot_terms(spark):
+    df = spark.createDataFrame([(i, [1, i % 4, 9]) for i in range(100)], "k int, ids array<int>")
+    terms = spark.createDataFrame([(i, f"n{i}") for i in range(4)], "term_id int, name string")
+    args = (df, ["k"], F.col("ids"), terms, "names")
+    plain = {r["k"]: r["names"] for r in enrich.lookup_names(*args).collect()}
+    sliced = {r["k"]: r["names"] for r in enrich.lookup_names(*args, n_ids=300, hot_rows=10).collect()}
+    assert plain == sliced and plain[2] == ["n1", "n2"]
