@@ -128,7 +128,7 @@ def without_query(link: Column) -> Column:
 
 def link_key(link: Column) -> Column:
     """Identity of a link: lower case, no trailing slashes, empty means none."""
-    return F.nullif(F.regexp_replace(F.lower(F.coalesce(link, F.lit(""))), r"/+\z", ""), F.lit(""))
+    return F.nullif(F.rtrim(F.lower(link), F.lit("/")), F.lit(""))
 
 
 def contains_text(c: Column, needle: str) -> Column:

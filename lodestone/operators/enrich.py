@@ -122,7 +122,7 @@ def detail_fields(detail_html: DataFrame) -> DataFrame:
 def _join(rows: DataFrame, side: DataFrame, on: tuple[str, ...], n_rows: int | None, hot_rows: int) -> DataFrame:
     """Left join of listings with a side that has one row per key. With the number of
     rows known, hot keys are found and sliced; else skew is left to the adaptive join."""
-    hot = HotKeys(on, None) if n_rows is None else HotKeys.find(rows, on, n_rows, hot_rows)
+    hot = HotKeys(on, None) if n_rows is None else HotKeys.find(rows, on, n_rows, hot_rows, "seq")
     return hot.left_join(rows, side, "seq")
 
 
@@ -194,7 +194,7 @@ def lookup_names(
     ``n_ids`` is the number of ids in all rows, where known: then hot terms are sliced.
     """
     wide = df.select(*row_key, F.posexplode(ids).alias("_at", "term_id"))
-    hot = HotKeys(("term_id",), None) if n_ids is None else HotKeys.find(wide, ("term_id",), n_ids, hot_rows)
+    hot = HotKeys(("term_id",), None) if n_ids is None else HotKeys.find(wide, ("term_id",), n_ids, hot_rows, *row_key, "_at")
     named = (
         hot.left_join(wide, terms.select("term_id", "name"), *row_key)
         .where(F.col("name").isNotNull())

@@ -5,10 +5,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this many rows, or above 1/MAX_HOT of all rows if that is more;
-# so there are at most MAX_HOT hot keys, which is the size bound of the broadcast list.
+# A key is hot above this many rows, or above 1/MAX_HOT of all rows if that is more.
 HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
+# A key of just that size is expected this often in the sample that looks for hot keys.
+IN_SAMPLE = 50
 
 
 def hot_threshold(n_rows: int, hot_rows: int = HOT_ROWS) -> int:
@@ -23,12 +24,22 @@ class HotKeys:
     keys: DataFrame | None  # columns `on` and `slices`; None when no key can be hot
 
     @staticmethod
-    def find(rows: DataFrame, on: tuple[str, ...], n_rows: int, hot_rows: int = HOT_ROWS) -> "HotKeys":
+    def find(rows: DataFrame, on: tuple[str, ...], n_rows: int, hot_rows: int, *spread_by: str) -> "HotKeys":
+        """Look for hot keys in an evenly spread sample of the rows.
+
+        Only the slicing depends on the sample, never a result. Counting every key
+        would shuffle as much as the join itself. A key is listed from half the
+        threshold on, so the list has at most 2 * MAX_HOT entries: the size bound of
+        its broadcast.
+        """
         limit = hot_threshold(n_rows, hot_rows)
         if n_rows <= limit:
             return HotKeys(on, None)
-        counted = rows.where(_all_present(on)).groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > limit)
-        return HotKeys(on, counted.select(*on, F.ceil(F.col("_n") / limit).cast("int").alias("slices")))
+        one_in = max(1, limit // IN_SAMPLE)
+        sample = rows.where(_all_present(on) & (F.pmod(F.xxhash64(*spread_by, F.lit(1)), F.lit(one_in)) == 0))
+        rows_of_key = F.count("*") * one_in
+        counted = sample.groupBy(*on).agg(rows_of_key.alias("_n")).where(F.col("_n") > limit // 2)
+        return HotKeys(on, counted.select(*on, F.ceil(2 * F.col("_n") / limit).cast("int").alias("slices")))
 
     def kept(self, workspace, name: str) -> "HotKeys":
         """The same keys, read back from a written table."""
