@@ -569,9 +569,10 @@ def _detail_listings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _detail_pages(spark: SparkSession, sf: str) -> DataFrame:
-    """Two captures of a detail page per order with odd key; the newer one counts."""
+    """Two captures of a detail page per order, the newer one counts; for an even key the
+    page is at an address no listing has."""
     k = col("o_orderkey")
-    first = proxies.spread(table(spark, sf, "orders").where(k % 2 == 1), "o_orderkey")
+    first = proxies.spread(table(spark, sf, "orders"), "o_orderkey")
     both = first.withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
     land, home, baths, year = 100 + k % 900 + col("v"), 50 + k % 300, k % 4, 1795 + k % 320
     source = pick(DETAIL_SOURCES, k)
@@ -591,7 +592,7 @@ def _detail_pages(spark: SparkSession, sf: str) -> DataFrame:
                         ".6 m<strong>Bedrooms:</strong>", 1 + k % 5, "<strong>Bathrooms:</strong>", baths, "<"))
     )
     return both.select(
-        source.alias("source"), F.concat(F.lit("https://d.test/"), k).alias("link"),
+        source.alias("source"), F.concat(F.when(k % 2 == 1, "https://d.test/").otherwise("https://gone.test/"), k).alias("link"),
         F.timestamp_seconds(F.lit(1000) + col("v")).alias("captured_at"), html.alias("html"),
     )
 
