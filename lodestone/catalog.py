@@ -3,10 +3,10 @@
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixed, schema
+from . import fixed
 from .functions import labels, numbers as n, places, text as t
 from .operators import dedup, documents, enrich
 from .plans import query as q, stats
