@@ -20,6 +20,17 @@ def text_key(text: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
 
 
+def share_of(rows: int, wanted: int, *by: str) -> Column:
+    """Picks rows by a hash of ``by``, so that of ``rows`` about twice the ``wanted`` number is left to take that many from.
+
+    All of them, if there are no more than that. What tasks send for a sample is bounded
+    by it in this way, however many tasks there are.
+    """
+    if rows <= 2 * wanted:
+        return F.lit(True)
+    return F.pmod(F.xxhash64(F.lit("sample"), *by), F.lit(1 << 40)) < int((1 << 40) * 2 * wanted / rows)
+
+
 def packed(docs: DataFrame, **named: Column) -> DataFrame:
     """The whole row as one struct ``_row`` beside the named columns.
 

@@ -204,8 +204,8 @@ def trained(docs: DataFrame, text: str = "text") -> tuple[Labels, Scorer]:
     bad = [p for p in soft if soft[p] < 0.5]
     half = FIT_SAMPLE // 2
     chosen = None
-    for one in (F.col("pattern").isin(bad), ~F.col("pattern").isin(bad)):
-        part = rows.where(one).distinct().orderBy(F.xxhash64("_order"), "_order").limit(half)
+    for one, n in ((F.col("pattern").isin(bad), sum(n for p, n in patterns if p in bad)), (~F.col("pattern").isin(bad), sum(n for p, n in patterns if p not in bad))):
+        part = rows.where(one & common.share_of(n, half, "_order")).distinct().orderBy(F.xxhash64("_order"), "_order").limit(half)
         chosen = part if chosen is None else chosen.union(part)
     keys = ws.table("sample", chosen)  # at most FIT_SAMPLE rows
     texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_order", F.xxhash64("_text"))

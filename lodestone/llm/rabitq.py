@@ -109,7 +109,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     count = groups.count()
     lists = int(min(MOST_LISTS, max(1, count // LIST_VECTORS)))
     if lists > 1:
-        sample = groups.orderBy(F.xxhash64("v"), "id").limit(FIT_SAMPLE).select("v").toArrow()
+        sample = groups.where(common.share_of(count, FIT_SAMPLE, "v")).orderBy(F.xxhash64("v"), "id").limit(FIT_SAMPLE).select("v").toArrow()
         middle = centroids(units(_vectors(sample.column("v"))), lists)
     else:
         middle = np.zeros((1, width))

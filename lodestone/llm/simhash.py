@@ -160,7 +160,7 @@ def links(ws: Workspace, points: DataFrame) -> DataFrame:
     """Edges a, b (signed longs) that join the distinct fingerprints ``fp`` as all their links do."""
     count = points.count()
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / SHARD_POINTS))))
-    sample = [r.fp for r in points.orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
+    sample = [r.fp for r in points.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
     tree = grown(np.array(sample, dtype=np.int64).view(np.uint64), depth)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

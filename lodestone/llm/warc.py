@@ -21,6 +21,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestone.llm import common
 from lodestone.session import Workspace
 
 # Fixed values of the format.
@@ -35,6 +36,8 @@ DICTIONARY_BYTES = 1 << 15
 # The dictionary is trained on the beginnings of a bounded sample of payloads.
 TRAIN_PAGES, TRAIN_BYTES = 300, 4096
 ARCHIVE_BYTES = 64 << 20
+# Archives are read one per task, up to this many tasks.
+MOST_TASKS = 50_000
 READ_BYTES = 1 << 16
 DATE = "2000-01-01T00:00:00Z"
 
@@ -146,7 +149,8 @@ def records(stream) -> Iterator[bytes]:
 
 def trained(pages: DataFrame, html: str = "html") -> bytes:
     """A dictionary for the payloads, from the sample named above; none where they are too few to train on."""
-    sample = pages.where(F.length(html) > 0).select(F.substring(html, 1, TRAIN_BYTES).alias("t"), F.xxhash64(html).alias("h"))
+    some = pages.where(common.share_of(pages.count(), TRAIN_PAGES, html) & (F.length(html) > 0))
+    sample = some.select(F.substring(html, 1, TRAIN_BYTES).alias("t"), F.xxhash64(html).alias("h"))
     texts = [r.t.encode() for r in sample.orderBy("h").limit(TRAIN_PAGES).collect()]
     heads = [record(i, "http://example.org/", t, len(t), digest(t), None, False) for i, t in enumerate(texts)]
     if sum(map(len, heads)) < 10 * DICTIONARY_BYTES or len(heads) < 20:
@@ -215,8 +219,9 @@ def read(archives: DataFrame, folder: str, payloads: bool = True) -> DataFrame:
                     raise Damaged(f"{seen} of {expected} records in {path}")
                 yield _batch(rows)
 
-    # Each archive is a task's work, so they are dealt out one by one.
-    return archives.select("path", "records").repartition("path").mapInArrow(run, RECORDS)
+    # A given number of partitions: adaptive execution would merge so few paths into one task.
+    tasks = max(1, min(archives.count(), MOST_TASKS))
+    return archives.select("path", "records").repartition(tasks).mapInArrow(run, RECORDS)
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
