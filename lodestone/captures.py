@@ -109,7 +109,7 @@ def listings(spark: SparkSession, sf_dir: str, registry: str, kind: str) -> Data
     """The extraction job over one source's captures."""
     spec = specs(kind, registry)[0]
     taxonomy = terms(spark, sf_dir) if FORMS[registry][0] == POST else None
-    cards = extract.cards(spec, capture(spark, sf_dir, registry, kind), taxonomy, cap_pages=False)
+    cards = extract.cards(spec, capture(spark, sf_dir, registry, kind), taxonomy)
     return shown(extract.listings_of(cards))
 
 
@@ -138,7 +138,7 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     work.table("bronze", capture(spark, sf_dir, "Bazaraki", "plot"))
     ingest.ingest_cards(
         spark, "plot", "json", f"{work.path}/bronze", f"{work.path}/silver", f"{work.path}/checkpoint",
-        cap_pages=False, max_files=4,
+        max_files=4,
     ).awaitTermination()
     ingest.republish(spark, "plot", f"{work.path}/silver", f"{work.path}/snapshot", run=1)
     return shown(refresh.latest(spark, f"{work.path}/snapshot"))
@@ -155,7 +155,7 @@ def plot_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def refresh_plots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All plot sources extracted, united and deduplicated with the real priorities."""
-    out = refresh.refresh(spark, "plot", plot_bronze(spark, sf_dir), cap_pages=False)
+    out = refresh.refresh(spark, "plot", plot_bronze(spark, sf_dir))
     return out.decisions.groupBy("source", "decision").agg(F.count("*").alias("n"))
 
 

@@ -311,9 +311,7 @@ def cheapest_listings(spark, sf):
 @register
 def page_caps(spark, sf):
     """L2: a page cap per source is a pushed-down predicate."""
-    cards = _day_pages(spark, sf)
-    cap = F.when(col("source") == "click", 3).when(col("source") == "view", 5).otherwise(10)
-    return cards.where(col("page_no") <= cap).groupBy("source").agg(F.count("*").alias("n"))
+    return extract.capped(_day_pages(spark, sf), {"click": 3, "view": 5}, default=10).groupBy("source").agg(F.count("*").alias("n"))
 
 
 # --- statistics -----------------------------------------------------------------------
@@ -733,10 +731,35 @@ def band_join_tokens(spark, sf):
 def notice_table(spark, sf):
     """Whole notice pages, one per order, laid out from its facts."""
     return documents.notice_rows(_notice_items(spark, sf)).select(
-        "code", "idx", "registration", "share", "areaSqm", "propertyType"
+        "code", "doc", "idx", "registration", "share", "areaSqm", "propertyType"
     )
 
 
+def _harvested(spark: SparkSession, sf: str) -> DataFrame:
+    """Entries of a harvest: the notices of all orders, and two photographs of each."""
+    lines = table(spark, sf, "lineitem").where(col("l_linenumber") <= 2)
+    photos = lines.select(
+        col("l_orderkey").cast("string").alias("code"), col("l_linenumber").alias("n"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("image"),
+    )
+    return documents.harvest_entries(documents.notice_rows(_notice_items(spark, sf)), photos)
+
+
+@register
+def harvest_cache(spark, sf):
+    """J10, SNK2: a harvest merged into the cache, written under a new name and read back."""
+    old = _part_cache(spark, sf).withColumn("code", F.substring("code", 2, 20))
+    merged = enrich.upsert(old, _harvested(spark, sf), "code")
+    cache = Workspace(spark, "cache").table("entries", merged)
+    return cache.select("code", "plotSqm", "share", "propertyType", "registration", F.size("images").alias("n_images"))
+
+
+@register
+def harvest_summary(spark, sf):
+    """A7 over a whole harvest."""
+    return stats.harvest_report(_harvested(spark, sf))
+
+
 GREEK = tuple(fixed.NOTICE_PROPERTY_TYPES)
 
 
@@ -761,8 +784,10 @@ def _notice_items(spark: SparkSession, sf: str) -> DataFrame:
         *[F.struct(F.lit(i).alias("item_no"), s.alias("s"), F.lit(x).alias("x"), F.lit(y).alias("y")) for i, s, x, y in cells]
     )
     return proxies.spread(table(spark, sf, "orders"), "o_orderkey").select(
-        k.cast("string").alias("code"), F.lit(1).alias("page"), F.explode(rows).alias("i")
-    ).select("code", "page", "i.*")
+        k.cast("string").alias("code"),
+        F.explode(F.when(k % 10 == 0, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("a")))).alias("doc"),
+        F.lit(1).alias("page"), rows.alias("cells"),
+    ).select("code", "doc", "page", F.explode("cells").alias("i")).select("code", "doc", "page", "i.*")
 
 
 @register

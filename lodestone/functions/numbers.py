@@ -105,7 +105,8 @@ def grab_number(text: Column, pattern: str, separators: str = ",") -> Column:
 
 
 def int_of(c: Column) -> Column:
-    return number(c).cast("int")
+    """Whole number; null beyond the range of an int."""
+    return number(c).try_cast("int")
 
 
 def year_between(c: Column) -> Column:

@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from .. import fixed
 from ..functions import numbers as n
-from ..functions.text import grab, has
+from ..functions.text import grab, has, trim
 
-PAGE = ["code", "page"]
+PAGE = ["code", "doc", "page"]  # a code may have several documents
 
 
 def band_join(anchors: DataFrame, tokens: DataFrame, on: list[str], reach: int) -> DataFrame:
@@ -45,7 +45,7 @@ def type_order(token: Column) -> Column:
 
 def notice_rows(items: DataFrame) -> DataFrame:
     """Lots of a notice table, read by column position around each row marker."""
-    text = items.withColumn("s", F.trim("s")).where(F.col("s") != "")
+    text = items.withColumn("s", trim(F.col("s"))).where(F.col("s") != "")
     markers = text.where((F.col("x") < fixed.NOTICE_MARKER_X) & has(F.col("s"), r"^\d+\.\*{0,4}$")).select(
         *PAGE, F.col("item_no").alias("row_no"), F.col("y").alias("anchor_y"),
         n.int_of(grab(F.col("s"), r"^(\d+)")).alias("idx"),
@@ -77,7 +77,7 @@ def notice_rows(items: DataFrame) -> DataFrame:
 
 def wanted_lot(code: Column) -> Column:
     """Lot number in a code: `…-002` is the second lot, no suffix the first."""
-    return F.coalesce(n.int_of(grab(code, r"-(\d+)$")), F.lit(1))
+    return F.coalesce(n.number(grab(code, r"-(\d+)$")), F.lit(1.0))
 
 
 def pick_lot(rows: DataFrame, order: list[str], idx: str = "idx") -> DataFrame:
@@ -94,8 +94,8 @@ def pick_lot(rows: DataFrame, order: list[str], idx: str = "idx") -> DataFrame:
 
 def harvest_entries(rows: DataFrame, photos: DataFrame) -> DataFrame:
     """Cache entries of a harvest: the lot's facts and the photo addresses of its code."""
-    lot = pick_lot(rows, ["page", "row_no"]).select(
-        "code", F.col("areaSqm").alias("plotSqm"), "share", "propertyType", "registration"
+    lot = pick_lot(rows, ["doc", "page", "row_no"]).select(
+        "code", F.lit(True).alias("has_row"), F.col("areaSqm").alias("plotSqm"), "share", "propertyType", "registration"
     )
     shots = photos.groupBy("code").agg(F.sort_array(F.collect_list(F.struct("n", "image"))).alias("_shots")).select(
         "code", F.col("_shots")["image"].alias("images")
@@ -103,6 +103,7 @@ def harvest_entries(rows: DataFrame, photos: DataFrame) -> DataFrame:
     return lot.join(shots, "code", "full_outer").select(
         "code", "plotSqm", F.lit(None).cast("double").alias("houseSqm"),
         F.try_element_at("images", F.lit(1)).alias("image"), "images", "share", "propertyType", "registration",
+        F.coalesce("has_row", F.lit(False)).alias("has_row"),
     )
 
 

@@ -1,5 +1,6 @@
 """Enrichment joins: cache by code, detail pages by link, term names by id."""
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -101,19 +102,21 @@ def merged(current: Column, detail: Column, seen: Column, policy: str) -> Column
 
 def detail_fields(detail_html: DataFrame) -> DataFrame:
     """Typed fields of the newest capture of each detail page; the page text stays behind."""
-    parts = None
-    for source, fields in DETAIL_PAGES.items():
-        found = fields(F.col("html"))
-        part = detail_html.where(F.col("source") == source).select(
-            "source", "link", "captured_at",
-            *[found.get(f, F.lit(None)).cast("double").alias(f"d_{f}") for f in DETAIL_FIELDS],
-        )
-        parts = part if parts is None else parts.unionByName(part)
-    newest = Window.partitionBy("source", "link").orderBy(F.col("captured_at").desc())
+    found = {source: fields(F.col("html")) for source, fields in DETAIL_PAGES.items()}
+
+    def value(field: str) -> Column:
+        own = [F.when(F.col("source") == s, f[field].cast("double")) for s, f in found.items() if field in f]
+        return F.coalesce(*own, F.lit(None).cast("double")).alias(f"d_{field}")
+
+    parts = detail_html.where(F.col("source").isin(*DETAIL_PAGES)).select(
+        "source", "link", "captured_at", F.xxhash64("html").alias("_tie"), *[value(f) for f in DETAIL_FIELDS]
+    )
+    # Captures of the same time have an order of their own, so a rerun picks the same one.
+    newest = Window.partitionBy("source", "link").orderBy(F.col("captured_at").desc(), "_tie")
     return (
         parts.withColumn("_copy", F.row_number().over(newest))
         .where(F.col("_copy") == 1)
-        .drop("_copy", "captured_at")
+        .drop("_copy", "captured_at", "_tie")
         .withColumn("d_seen", F.lit(True))
     )
 
@@ -144,7 +147,7 @@ def merge_details(
             if field in policy:
                 new = merged(F.col(field), F.col(f"d_{field}"), seen, policy[field])
                 value = F.when(F.col("source") == source, new).otherwise(value)
-        values[field] = value.cast(listings.schema[field].dataType)
+        values[field] = value.try_cast(listings.schema[field].dataType)
     joined = joined.withColumns(values)
     both = joined.select(*listings.columns).unionByName(listings.where(~asks))
     late = F.col("source").isin(*PRICED_ON_DETAIL)
@@ -180,10 +183,6 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 # --- term names -------------------------------------------------------------------
 
-# A taxonomy is a short list; up to here it travels inside the plan as a literal map.
-MAX_LITERAL_TERMS = 1000
-
-
 def lookup_names(
     df: DataFrame, row_key: list[str], ids: Column, terms: DataFrame, out: str,
     n_ids: int | None = None, hot_rows: int = HOT_ROWS,
@@ -205,23 +204,24 @@ def lookup_names(
 
 
 def term_names(
-    df: DataFrame, source: str, terms: DataFrame | None, limit: int = MAX_LITERAL_TERMS
+    df: DataFrame, source: str, terms: DataFrame | None
 ) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """A function from a column of ids to a column of names, by map or, beyond its limit, by join."""
-    if terms is None or "item" not in df.columns:
-        return df, lambda ids: F.array().cast("array<string>")
-    own = terms.where(F.col("source") == source)
-    rows = own.select("term_id", "name").limit(limit + 1).collect()
-    if not rows:
-        return df, lambda ids: F.array().cast("array<string>")
-    if len(rows) <= limit:
-        names = F.create_map(*[F.lit(x) for r in rows for x in (r["term_id"], r["name"])])
-        return df, lambda ids: F.transform(ids, lambda i: F.try_element_at(names, i))
-    keyed = ["partition", "page_no", "pos", "captured_at"]
-    safe = df.withColumns({k: F.coalesce(F.col(k), _zero(df, k)) for k in keyed})
-    return lookup_names(safe, keyed, F.col("item.property_city"), own, "_names"), lambda ids: F.col("_names")
-
-
-def _zero(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType.simpleString()
-    return F.lit({"string": "", "timestamp": "1970-01-01"}.get(kind, 0)).cast(kind)
+    """A function from a column of ids to a column of names, through the taxonomy as one constant map.
+
+    A taxonomy is the term list of one site, so it grows with its categories, not with its
+    listings. Of a term id with several names the first by code point counts. A source
+    that needs names and has no taxonomy fails, as its listings would be incomplete.
+    """
+    own = [] if terms is None or "item" not in df.columns else (
+        terms.where((F.col("source") == source) & F.col("term_id").isNotNull() & F.col("name").isNotNull())
+        .groupBy("term_id").agg(F.min("name").alias("name")).collect()
+    )
+
+    def names(ids: Column) -> Column:
+        if not own:
+            raise LookupError(f"no taxonomy for {source}")
+        table = json.dumps({str(r["term_id"]): r["name"] for r in own})
+        known = F.from_json(F.lit(table), "map<string,string>")
+        return F.transform(ids, lambda i: F.try_element_at(known, i.cast("string")))
+
+    return df, names

@@ -456,11 +456,28 @@ SELECT page_id, CAST(coalesce(n, 0) AS INTEGER) AS n_links, coalesce(links, '')
 SELECT a.code, a.l_partkey AS marker, a.y AS anchor_y, count(*) AS n,
   min(CASE WHEN abs(b.x - 20) <= 10 THEN b.x END) AS leftmost, count(*) FILTER (abs(b.x - 40) <= 5) AS near_40
   FROM tok a JOIN tok b ON a.code = b.code AND abs(b.y - a.y) < 22 WHERE a.l_linenumber = 1 GROUP BY 1, 2, 3""",
-        "notice_table": f"""WITH o AS (SELECT o_orderkey AS k, lot FROM orders, (VALUES (1), (2)) v(lot))
-SELECT CAST(k AS VARCHAR) AS code, lot AS idx, '0/' || k AS registration,
+        "notice_table": f"""WITH o AS (SELECT o_orderkey AS k, lot, doc FROM orders, (VALUES (1), (2)) v(lot), (VALUES ('a'), ('b')) w(doc)
+  WHERE doc = 'a' OR o_orderkey % 10 = 0)
+SELECT CAST(k AS VARCHAR) AS code, doc, lot AS idx, '0/' || k AS registration,
   CASE WHEN k % 5 * lot BETWEEN 1 AND 4 THEN (k % 5 * lot) || '/4' END AS share,
   CAST((k % 1000) * 1000 + lot * 100 + 1 AS DOUBLE) AS "areaSqm",
   {pick((*fixed.NOTICE_PROPERTY_TYPES.values(), None), "k")} AS "propertyType" FROM o""",
+        "harvest_cache": f"""WITH fresh AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS code, CAST((k % 1000) * 1000 + 101 AS DOUBLE) AS sqm,
+  CASE WHEN k % 5 BETWEEN 1 AND 4 THEN (k % 5) || '/4' END AS share, {pick((*fixed.NOTICE_PROPERTY_TYPES.values(), None), "k")} AS ptype,
+  '0/' || k AS reg FROM orders),
+shots AS (SELECT CAST(l_orderkey AS VARCHAR) AS code, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1),
+new AS (SELECT code, sqm, share, ptype, reg, n FROM fresh FULL JOIN shots USING (code)),
+old AS (SELECT CAST(p_partkey AS VARCHAR) AS code, CASE WHEN p_partkey % 8 <> 0 THEN CAST(p_size AS DOUBLE) END AS sqm,
+  CASE WHEN p_partkey % 6 <> 0 THEN 1 END AS n, CASE WHEN p_partkey % 4 = 0 THEN '1/2' END AS share,
+  CASE WHEN p_partkey % 4 <> 1 THEN p_type END AS ptype, CASE WHEN p_partkey % 3 = 0 THEN p_brand END AS reg FROM part)
+SELECT code, coalesce(new.sqm, old.sqm) AS "plotSqm", coalesce(new.share, old.share) AS share, coalesce(new.ptype, old.ptype) AS "propertyType",
+  coalesce(new.reg, old.reg) AS registration, CAST(coalesce(new.n, old.n) AS INTEGER) AS n_images FROM old FULL JOIN new USING (code)""",
+        "harvest_summary": f"""WITH fresh AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS code, CAST((k % 1000) * 1000 + 101 AS DOUBLE) AS sqm,
+  CASE WHEN k % 5 BETWEEN 1 AND 4 THEN (k % 5) || '/4' END AS share, {pick((*fixed.NOTICE_PROPERTY_TYPES.values(), None), "k")} AS ptype,
+  '0/' || k AS reg FROM orders),
+shots AS (SELECT CAST(l_orderkey AS VARCHAR) AS code, count(*) AS n FROM lineitem WHERE l_linenumber <= 2 GROUP BY 1),
+new AS (SELECT code, sqm, share, ptype, reg, n FROM fresh FULL JOIN shots USING (code))
+SELECT count(*) AS harvested, count(n) AS with_photos, count(reg) AS with_table FROM new""",
         "lot_select": """WITH r AS (SELECT 'C' || l_orderkey || CASE WHEN l_orderkey % 3 = 0 THEN '' ELSE '-00' || (1 + l_orderkey % 4) END AS code,
   CASE WHEN l_orderkey % 3 = 0 THEN 1 ELSE 1 + l_orderkey % 4 END AS want, l_linenumber AS idx, l_partkey, l_suppkey, l_extendedprice
   FROM lineitem)

@@ -71,9 +71,15 @@ def source_health(registry: DataFrame, listings: DataFrame, failed: tuple[str, .
 
 
 def harvest_report(harvest: DataFrame) -> DataFrame:
-    """Harvested entries, those with photos and those with table data."""
+    """Harvested entries, those with photos and those whose notice had a table row.
+
+    A row counts also when none of its cells could be read (``has_row`` of a harvest);
+    entries of a cache, which don't say, count by a filled field.
+    """
     fields = ("plotSqm", "share", "propertyType", "registration")
     any_field = F.coalesce(*[F.col(f).cast("string") for f in fields]).isNotNull()
+    if "has_row" in harvest.columns:
+        any_field = F.col("has_row")
     return harvest.agg(
         F.count("*").alias("harvested"),
         F.count_if(F.coalesce(F.size("images") > 0, F.lit(False))).alias("with_photos"),

@@ -39,7 +39,7 @@ CACHE_ENTRY = _struct(
     plotSqm=DBL, houseSqm=DBL, image=STR, images=STRINGS, share=STR, propertyType=STR, registration=STR,
 )
 CACHE = T.StructType([T.StructField("code", STR, True), *CACHE_ENTRY.fields])
-PDF_ITEMS = _struct(code=STR, page=INT, item_no=INT, s=STR, x=INT, y=INT)
+PDF_ITEMS = _struct(code=STR, doc=STR, page=INT, item_no=INT, s=STR, x=INT, y=INT)
 PIXELS = _struct(image_id=STR, width=INT, height=INT, i=INT, r=INT, g=INT, b=INT)
 
 # Raw items inside the captured JSON payloads.
@@ -59,7 +59,7 @@ POST_PAGE = T.ArrayType(POST)
 
 # `seq` packs the place of a card in the capture: source, partition, page, position.
 SEQ_BITS = 55
-_PART_BITS, _PAGE_BITS, _POS_BITS = 4, 35, 10
+_PART_BITS, _PAGE_BITS, _POS_BITS = 4, 25, 20
 
 
 def capture_seq(source_order: int, part_order: Column, page_no: Column, pos: Column) -> Column:
@@ -81,7 +81,7 @@ def as_listing(df: DataFrame) -> DataFrame:
     have = set(df.columns)
     return df.select(
         *[
-            (F.col(f.name) if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
             for f in LISTING.fields
         ]
     )

@@ -7,7 +7,7 @@ from lodestone.operators import documents, enrich
 
 
 def items(spark, *cells):
-    rows = [("C-002", 1, i, s, x, y) for i, (s, x, y) in enumerate(cells)]
+    rows = [("C-002", "a", 1, i, s, x, y) for i, (s, x, y) in enumerate(cells)]
     return spark.createDataFrame(rows, schema.PDF_ITEMS)
 
 
@@ -27,6 +27,21 @@ def test_notice_rows(spark):
     assert (got[2]["registration"], got[2]["share"], got[2]["areaSqm"], got[2]["propertyType"]) == (None, None, None, "Land")
 
 
+def test_documents_of_one_code_stay_apart(spark):
+    first = items(spark, *HEAD, ("1.\u00a0", 20, 60), ("100", 200, 60))
+    second = items(spark, *HEAD, ("1.", 20, 60), ("300", 200, 60)).withColumn("doc", F.lit("b"))
+    both = documents.notice_rows(first.unionByName(second))
+    assert {(r["doc"], r["areaSqm"]) for r in both.collect()} == {("a", 100.0), ("b", 300.0)}
+    photos = spark.createDataFrame([], "code string, n int, image string")
+    entry = documents.harvest_entries(both, photos).first()
+    assert entry["plotSqm"] == 100.0 and entry["has_row"]
+
+
+def test_overlong_lot_number(spark):
+    rows = spark.createDataFrame([("EA-20260305123", 2, "b"), ("EA-20260305123", 1, "a")], "code string, idx int, v string")
+    assert documents.pick_lot(rows, ["idx"]).first()["v"] == "a"
+
+
 def test_band_join_is_open_at_its_edge(spark):
     anchors = spark.createDataFrame([(1, 0), (1, -5)], "page int, anchor_y int")
     tokens = spark.createDataFrame([(1, y) for y in range(-40, 40)], "page int, y int")

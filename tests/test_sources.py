@@ -59,8 +59,8 @@ def test_no_marker_no_cards(spark):
 def test_page_cap(spark):
     pages = [TEASER.format(i, 3, "€300,000") for i in range(25)]
     bronze = html(spark, "Realting", "house", *pages)
-    assert len(listings(spark, "Realting", "house", bronze)) == 20
-    assert len(listings(spark, "Realting", "house", bronze, cap_pages=False)) == 25
+    assert len(listings(spark, "Realting", "house", bronze)) == 25
+    assert len(listings(spark, "Realting", "house", bronze, caps={"Realting": 20})) == 20
 
 
 def test_status_order_decides_between_copies(spark):
@@ -119,12 +119,39 @@ def test_terms_by_map_and_by_join(spark):
         [("p", 1, 0, T0, ([3, 9, 1],)), ("p", 1, 1, T0, ([],)), (None, 1, 2, T0, ([3, 3],))],
         "partition string, page_no bigint, pos int, captured_at timestamp, item struct<property_city:array<int>>",
     )
-    for limit in (100, 2):
-        wide, names = enrich.term_names(df, "Pafilia", terms, limit=limit)
+    twice = terms.unionByName(terms.withColumn("name", F.concat(F.lit("z"), "name")))
+    for taxonomy in (terms, twice):
+        wide, names = enrich.term_names(df, "Pafilia", taxonomy)
         rows = wide.select("pos", F.array_join(F.filter(names(F.col("item.property_city")), lambda x: x.isNotNull()), ",").alias("n"))
         assert {r["pos"]: r["n"] or "" for r in rows.collect()} == {0: "n3,n1", 1: "", 2: "n3,n3"}
 
 
+def test_no_taxonomy_fails_the_source(spark):
+    df = spark.createDataFrame([("p", 1, 0, T0, ([3],))], "partition string, page_no bigint, pos int, captured_at timestamp, item struct<property_city:array<int>>")
+    for terms in (None, frame(spark, schema.TERMS, [dict(source="Other", term_id=1, name="x")])):
+        _, names = enrich.term_names(df, "Pafilia", terms)
+        with pytest.raises(LookupError, match="no taxonomy for Pafilia"):
+            names(F.col("item.property_city"))
+
+
+def test_a_page_of_many_cards(spark):
+    page = "head" + "".join(TEASER.format(i, 3, "€300,000") for i in range(5000))
+    assert len(listings(spark, "Realting", "house", html(spark, "Realting", "house", page))) == 5000
+
+
+def test_an_overlong_number_is_no_number(spark):
+    card = '<div class="estatebud-property"><a href="https://kadis.com.cy/property-{}/x"><strong>{}</strong> Beds <strong>2</strong> Baths'
+    got = listings(spark, "Kadis Estates", "house", html(spark, "Kadis Estates", "house", "head" + card.format(1, 35799123456) + card.format(2, 3)))
+    assert [(r["ref"], r["beds"], r["baths"]) for r in got] == [("1", None, 2), ("2", 3, 2)]
+
+
+def test_the_newest_capture_of_a_page_counts(spark):
+    old = html(spark, "Realting", "house", "head" + TEASER.format(1, 3, "€100,000"))
+    new = html(spark, "Realting", "house", "head" + TEASER.format(1, 3, "€90,000"), captured_at=T1)
+    scraped, _ = refresh.extract_sources(spark, "house", {"html": old.unionByName(new)})
+    assert [r["price"] for r in scraped.where("source = 'Realting'").collect()] == [90000.0]
+
+
 def test_cache_file(spark, tmp_path):
     assert readers.enrichment_cache(spark, str(tmp_path / "none.json")).collect() == []
     path = tmp_path / "cache.json"
@@ -165,10 +192,10 @@ def test_refresh_goes_on_without_a_failing_source(spark, sf, tmp_path):
     bronze = {"json": captures.capture(spark, sf, "Bazaraki", "plot").unionByName(captures.capture(spark, sf, "EstateBud-WP agencies", "plot"))}
     broken = captures.capture(spark, sf, "Kadis Estates", "plot").withColumn("page_no", F.lit(-1).cast("bigint"))
     bronze["html"] = broken.unionByName(captures.capture(spark, sf, "Cyprus Properties", "plot"))
-    out = refresh.refresh(spark, "plot", bronze, cap_pages=False)
+    out = refresh.refresh(spark, "plot", bronze)
     assert set(out.failed) == {"Kadis Estates", "Kazo Real Estate"}
     got = {r["seq"]: r["decision"] for r in out.decisions.collect()}
-    scraped, _ = refresh.extract_sources(spark, "plot", bronze, cap_pages=False)
+    scraped, _ = refresh.extract_sources(spark, "plot", bronze)
     rows = [r.asDict() for r in refresh.finish(scraped).collect()]
     assert got == decisions_by_walk(dedup.PLOTS, rows) and set(got.values()) == {"kept", "cross"}
     report = stats.dedup_report(out.decisions).first()
