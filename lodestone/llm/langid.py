@@ -27,7 +27,7 @@ DIMENSIONS = 16
 SAMPLE_PER_LANGUAGE = 500
 EPOCHS, RATE = 6, 4.0
 # Share of the held-back rows that may fall below the level of rejection, and the highest level.
-REJECTED, LEVEL = 0.002, 0.5
+REJECTED, LEVEL = 0.002, 0.4
 UNKNOWN = "und"
 
 
