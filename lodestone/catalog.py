@@ -873,8 +873,8 @@ def _snapshot(spark: SparkSession, sf: str, start: str, end: str) -> DataFrame:
 @register
 def snapshot_diff(spark, sf):
     """Added, removed and re-priced listings between two captures."""
-    old = _snapshot(spark, sf, "1995-01-01", "1997-01-01")
-    new = _snapshot(spark, sf, "1996-01-01", "1998-01-01")
+    old = _snapshot(spark, sf, "1900-01-01", "1997-01-01")
+    new = _snapshot(spark, sf, "1995-01-01", "2100-01-01")
     return stats.snapshot_diff(old, new)
 
 

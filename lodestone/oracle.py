@@ -508,7 +508,7 @@ SELECT source, CAST(max(page_no) AS INTEGER) AS last_page,
 SELECT source, CAST(floor(epoch(newest)) AS BIGINT) AS newest_s,
   CAST(floor((epoch_ms(TIMESTAMP '{catalog.AS_OF}') - epoch_ms(newest)) / 3600000.0) AS BIGINT) AS age_hours,
   epoch_ms(TIMESTAMP '{catalog.AS_OF}') - epoch_ms(newest) > 30 * 3600000 AS stale FROM m""",
-        "snapshot_diff": f"""WITH o AS ({_diff_side("1995-01-01", "1997-01-01")}), n AS ({_diff_side("1996-01-01", "1998-01-01")})
+        "snapshot_diff": f"""WITH o AS ({_diff_side("1900-01-01", "1997-01-01")}), n AS ({_diff_side("1995-01-01", "2100-01-01")})
 SELECT coalesce(o.key, n.key) AS key, CASE WHEN o.key IS NULL THEN 'added' WHEN n.key IS NULL THEN 'removed' ELSE 'changed' END AS change,
   o.price AS old_value, n.price AS new_value FROM o FULL OUTER JOIN n ON o.key = n.key
   WHERE o.price IS DISTINCT FROM n.price""",

@@ -22,16 +22,17 @@ LISTING = _struct(
     propertyType=STR, registration=STR, plotType=STR, zone=STR,
 )
 
+# `run` numbers a walk of a source, as soon as it is complete; captures without runs are one walk.
 BRONZE_JSON = _struct(
-    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), payload=STR,
+    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), payload=STR, run=LONG,
 )
 BRONZE_HTML = _struct(
-    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), url=STR, html=STR,
+    source=STR, kind=STR, partition=STR, page_no=LONG, captured_at=T.TimestampType(), url=STR, html=STR, run=LONG,
 )
 CARD_TEXT = _struct(
     source=STR, kind=STR, partition=STR, page_no=LONG, pos=INT, id=STR, link=STR, txt=STR,
     title=STR, location=STR, priceText=STR, description=STR, image=STR, images=STRINGS,
-    captured_at=T.TimestampType(),
+    captured_at=T.TimestampType(), run=LONG,
 )
 DETAIL_HTML = _struct(source=STR, link=STR, captured_at=T.TimestampType(), html=STR)
 TERMS = _struct(source=STR, term_id=INT, name=STR)

@@ -96,8 +96,9 @@ def test_rows_without_id_stay(spark):
 def test_latest_pages(spark):
     old = html(spark, "Realting", "house", TEASER.format(1, 3, "€300,000"), TEASER.format(2, 3, "€200,000"))
     new = html(spark, "Realting", "house", TEASER.format(3, 3, "€500,000"), captured_at=T1)
-    cards = extract.cards(specs("house", "Realting")[0], old.unionAll(new))
-    assert sorted(r["ref"] for r in extract.latest_pages(cards).collect()) == ["2", "3"]
+    spec, bronze = specs("house", "Realting")[0], old.unionAll(new)
+    cards = extract.cards(spec, bronze)
+    assert sorted(r["ref"] for r in extract.latest_pages(cards, extract.pages_of(spec, bronze)).collect()) == ["2", "3"]
 
 
 def test_extra_predicate_of_a_source(spark):
@@ -152,6 +153,17 @@ def test_the_newest_capture_of_a_page_counts(spark):
     assert [r["price"] for r in scraped.where("source = 'Realting'").collect()] == [90000.0]
 
 
+def test_pages_that_empty_or_vanish(spark):
+    def walk(run, at, *pages):
+        return html(spark, "Realting", "house", *pages, captured_at=at).withColumn("run", F.lit(run).cast("bigint"))
+
+    teaser = "head" + TEASER
+    first = walk(1, T0, teaser.format(1, 3, "€100,000"), teaser.format(2, 3, "€200,000"), teaser.format(3, 3, "€300,000"))
+    second = walk(2, T1, teaser.format(1, 3, "€110,000"), "nothing on this page")
+    scraped, _ = refresh.extract_sources(spark, "house", {"html": first.unionByName(second)})
+    assert [(r["ref"], r["price"]) for r in scraped.where("source = 'Realting'").collect()] == [("1", 110000.0)]
+
+
 def test_cache_file(spark, tmp_path):
     assert readers.enrichment_cache(spark, str(tmp_path / "none.json")).collect() == []
     path = tmp_path / "cache.json"
