@@ -346,8 +346,7 @@ def facet_values(spark, sf):
 @register
 def result_counts(spark, sf):
     """A4."""
-    rows = proxies.houses(spark, sf)
-    return stats.result_counts(rows, COMBINED.filter(rows))
+    return stats.counts_in_one_pass(proxies.houses(spark, sf), COMBINED.matches())
 
 
 @register

@@ -62,6 +62,10 @@ class ListingQuery:
             out.append(reduce(Column.__or__, [contains_text(col(c), self.q) for c in ("title", "location", "ref")]))
         return out
 
+    def matches(self) -> Column:
+        """All predicates as one; null counts as no."""
+        return reduce(Column.__and__, self.predicates(), F.lit(True))
+
     def filter(self, listings: DataFrame) -> DataFrame:
         return reduce(DataFrame.where, self.predicates(), listings)
 
