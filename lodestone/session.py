@@ -29,8 +29,19 @@ class Workspace:
         self.spark = spark
         self.path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
-    def table(self, name: str, df: DataFrame) -> DataFrame:
-        """Write ``df`` once and read it back, so later stages restart from files."""
+    def table(self, name: str, df: DataFrame, by: str | None = None) -> DataFrame:
+        """Write ``df`` once and read it back, so later stages restart from files.
+
+        ``by`` names a column of few values that gets a folder for each, so that a filter on it reads no more.
+        """
         path = f"{self.path}/{name}"
-        df.write.parquet(path)
+        (df.write.partitionBy(by) if by else df.write).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def keep_only(self, *names: str) -> None:
+        """Remove the tables no result reads any more; the named ones stay."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
+        files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        for status in files.listStatus(folder):
+            if status.getPath().getName() not in names:
+                files.delete(status.getPath(), True)

@@ -1,7 +1,12 @@
 """Physical plans that must stay as they are."""
 
+import re
+
+from pyspark.sql import functions as F
+
 from lodestone import catalog
 from lodestone.operators import dedup
+from lodestone.session import Workspace
 from lodestone.sources import proxies
 
 
@@ -20,7 +25,24 @@ def test_matching_builds_no_pairs_of_rows(spark, sf):
     text = plan(matcher.conflicts(rows, rows))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
     assert text.count("partial_min") >= 3  # minima combine before each shuffle
-    assert "Window" not in text
+
+
+def test_areas_do_not_meet_areas(spark, sf):
+    """The area step has no join; its windows are cut by key and block of areas, in one layout."""
+    matcher, rows, _ = dedup.prepare(proxies.houses(spark, sf), catalog.HOUSE_RULE)
+    offered = rows.where("akey IS NOT NULL").groupBy(*matcher.keys, "akey").agg(F.min("ord").alias("m"))
+    text = plan(matcher.near(None, offered, list(matcher.keys), F.min, {"m": "a_m"}))
+    assert "Join" not in text
+    windows = [line for line in text.splitlines() if re.search(r"\bWindow \[", line)]
+    assert len(windows) == 1 and all("_block" in line for line in windows)
+    assert len(re.findall(r"Exchange hashpartitioning\([^)]*_block", text)) == 1
+
+
+def test_decided_rows_are_read_by_folder(spark):
+    table = Workspace(spark, "plans").table("t", spark.range(9).withColumn("waits", F.col("id") > 4), by="waits")
+    text = table.where(~F.col("waits"))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(waits" in text
+    assert [r["id"] for r in table.where("waits").orderBy("id").collect()] == [5, 6, 7, 8]
 
 
 def test_top_of_a_list_is_not_a_full_sort(spark, sf):
