@@ -546,7 +546,8 @@ def _part_cache(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def enrich_left_join(spark, sf):
     """One source's listings get the cache's facts, unmatched ones nulls."""
-    rows = enrich.merge_cache(proxies.houses(spark, sf), _part_cache(spark, sf), source="1-URGENT")
+    rows = proxies.houses(spark, sf)
+    rows = enrich.merge_cache(rows, _part_cache(spark, sf), source="1-URGENT", n_rows=rows.count())
     return rows.select("seq", "source", "houseSqm", "plotSqm", "image", "share", "propertyType", "registration")
 
 
@@ -597,16 +598,18 @@ def _detail_pages(spark: SparkSession, sf: str) -> DataFrame:
 @register
 def enrich_merge_policy(spark, sf):
     """J2, J3, G12 and SRC6: detail pages joined by link with a policy per source and field."""
-    rows = enrich.merge_details(_detail_listings(spark, sf), enrich.detail_fields(_detail_pages(spark, sf)))
+    rows = _detail_listings(spark, sf)
+    rows = enrich.merge_details(rows, enrich.detail_fields(_detail_pages(spark, sf)), n_rows=rows.count())
     return rows.select("seq", "source", "price", "houseSqm", "plotSqm", "beds", "baths", "buildYear")
 
 
 @register
 def detail_inner_priced(spark, sf):
-    """A source priced on its detail page keeps only the priced listings."""
-    rows = _detail_listings(spark, sf).where(col("source") == "Giovani Homes")
-    rows = enrich.merge_details(rows, enrich.detail_fields(_detail_pages(spark, sf)))
-    return rows.select("seq", "price", "priceDisplay")
+    """A source priced on its detail page keeps only the priced listings, any other keeps all."""
+    rows = _detail_listings(spark, sf)
+    rows = enrich.merge_details(rows, enrich.detail_fields(_detail_pages(spark, sf)), n_rows=rows.count())
+    late = F.when(col("source").isin(*enrich.PRICED_ON_DETAIL), col("priceDisplay"))
+    return rows.select("seq", "source", "price", late.alias("priceDisplay"))
 
 
 def _order_terms(spark: SparkSession, sf: str) -> DataFrame:
@@ -621,7 +624,9 @@ def term_lookup(spark, sf):
     terms = table(spark, sf, "supplier").select(
         col("s_suppkey").cast("int").alias("term_id"), col("s_name").alias("name")
     )
-    rows = enrich.lookup_names(_order_terms(spark, sf), ["o_orderkey"], col("ids"), terms, "names")
+    orders = _order_terms(spark, sf)
+    n_ids = 3 * orders.count()
+    rows = enrich.lookup_names(orders, ["o_orderkey"], col("ids"), terms, "names", n_ids)
     return rows.select(
         "o_orderkey",
         F.array_join("names", ", ").alias("names"),

@@ -420,9 +420,9 @@ SELECT k AS p_partkey, CAST(s + 1 AS DOUBLE) AS n11, CAST(s * 1000 AS DOUBLE) AS
         ),
         "enrich_merge_policy": f"""WITH {DETAILS} SELECT seq, source, price, "houseSqm", "plotSqm", beds, baths, "buildYear"
   FROM published""",
-        "detail_inner_priced": f"""WITH {DETAILS} SELECT seq, price,
-  CASE WHEN price <> 0 THEN '€' || format('{{:,}}', CAST(price AS BIGINT)) END AS "priceDisplay"
-  FROM published WHERE source = 'Giovani Homes'""",
+        "detail_inner_priced": f"""WITH {DETAILS} SELECT seq, source, price,
+  CASE WHEN source = 'Giovani Homes' AND price <> 0 THEN '€' || format('{{:,}}', CAST(price AS BIGINT)) END AS "priceDisplay"
+  FROM published""",
         "term_lookup": """WITH o AS (SELECT o_orderkey, [o_orderkey % 97, o_custkey % 53, (o_orderkey + 5) % 211] AS ids FROM orders),
 x AS (SELECT o_orderkey, unnest(ids) AS id, generate_subscripts(ids, 1) AS nth FROM o),
 y AS (SELECT o_orderkey, string_agg(s_name, ', ' ORDER BY nth) AS names, arg_min(s_name, nth) AS first_name
