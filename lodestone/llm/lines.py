@@ -49,31 +49,40 @@ def _rank(doc_id) -> int:
 
 
 def occurrences(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row (doc, h1, h2) for every distinct digest of a document; documents without id are the last document."""
+    """One row (doc, key, h1, h2) for every distinct digest of a row; rows without id are the last document.
+
+    ``key`` is the text key: together with doc it names a row, whose digests its own text bounds.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, counts, found = [], [], []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
+            for doc, text in zip(batch.column("doc_id"), batch.column("_text"), strict=True):
                 own = set(units(text.as_py() or "")[2]) - {None}
                 ids.append(_rank(doc.as_py()))
                 counts.append(len(own))
                 found.extend(own)
             digests = np.frombuffer(b"".join(found), dtype="<i8").reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(ids, np.int64), counts)), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], ["doc", "h1", "h2"])
+            names = [np.repeat(x, counts) for x in (np.array(ids, np.int64), batch.column("_key").to_numpy())]
+            yield pa.RecordBatch.from_arrays([*map(pa.array, names), pa.array(digests[:, 0].copy()), pa.array(digests[:, 1].copy())], ["doc", "key", "h1", "h2"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("_text")).mapInArrow(run, "doc long, h1 long, h2 long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), common.text_key(text).alias("_key"), F.col(text).alias("_text"))
+    return rows.mapInArrow(run, "doc long, key long, h1 long, h2 long")
 
 
 def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``doc`` and ``digests``, those of its units that an earlier document has."""
+    """``doc``, ``key`` and ``digests``, those of the row's units that an earlier document has.
+
+    Kept per row and not per document: however many rows share a doc_id, or have none, a
+    set is no larger than one text.
+    """
     ws = Workspace(docs.sparkSession, "lines")
     rows = occurrences(docs, text)
     first = rows.groupBy("h1", "h2").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
     first = ws.table("first", first.select("h1", "h2", "first"))
     again = rows.join(first, ["h1", "h2"]).where("doc > first")
-    # A set: a doc_id that names several rows brings a digest once.
-    return ws.table("repeats", again.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("digests")))
+    # A set: equal rows bring a digest once.
+    return ws.table("repeats", again.groupBy("doc", "key").agg(F.collect_set(F.struct("h1", "h2")).alias("digests")))
 
 
 def removed(text: str, known: set[bytes]) -> list[tuple[int, int]]:
@@ -109,8 +118,8 @@ def without_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """
     known = repeats(docs, text)
     rank = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
-    rows = common.packed(docs, _doc=rank, _text=F.col(text))
-    joined = rows.join(known, rows["_doc"] == known["doc"], "left").select("_row", "_text", "digests")
+    rows = common.packed(docs, _doc=rank, _key=common.text_key(text), _text=F.col(text))
+    joined = rows.join(known, (rows["_doc"] == known["doc"]) & (rows["_key"] == known["key"]), "left").select("_row", "_text", "digests")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

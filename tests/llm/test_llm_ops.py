@@ -312,6 +312,17 @@ def test_lines_of_odd_texts(spark):
     assert lines.deduplicated(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("hot", [None, 7])
+def test_lines_of_many_rows_of_one_id(spark, hot):
+    shared = [f"This is the shared line number {k} of all." for k in range(400)]
+    rows = [(0, "\n".join(shared))] + [(hot, f"A line that only row {k} has here.\n{shared[k]}\nAnd a last one {k} of it.") for k in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    # What is kept of a row is bounded by its own text, however many rows have its id.
+    assert lines.repeats(frame).agg(F.count("*"), F.max(F.size("digests"))).first() == (400, 1)
+    got = sorted(r.clean for r in lines.without_repeats(frame).where("_row.doc_id is null or _row.doc_id <> 0").collect())
+    assert got == sorted(f"A line that only row {k} has here.\nAnd a last one {k} of it." for k in range(400))
+
+
 # --- 6: fingerprints -----------------------------------------------------------------------
 
 
