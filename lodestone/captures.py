@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fixed
+from . import catalog, fixed
 from .plans import refresh
 from .schema import CARD_TEXT
 from .session import Workspace
@@ -125,7 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
         query_name(spec.registry, kind): query(spec.registry, kind) for kind in ("house", "plot") for spec in specs(kind)
     }
-    return out | {"stream_refresh": stream_refresh, "refresh_plots": refresh_plots, "snapshot_publish": snapshot_publish}
+    return out | {"stream_refresh": stream_refresh, "refresh_plots": refresh_plots, "refresh_houses": refresh_houses, "snapshot_publish": snapshot_publish}
 
 
 def shown(listings: DataFrame) -> DataFrame:
@@ -144,21 +144,58 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(refresh.latest(spark, f"{work.path}/snapshot"))
 
 
-def plot_bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Captures of all plot sources, in their bronze tables."""
+def bronze_of(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
+    """Captures of all sources of a dataset, in their bronze tables."""
     bronze: dict[str, DataFrame] = {}
-    for spec in specs("plot"):
-        pages = capture(spark, sf_dir, spec.registry, "plot")
+    for spec in specs(kind):
+        pages = capture(spark, sf_dir, spec.registry, kind)
         bronze[spec.bronze] = bronze[spec.bronze].unionByName(pages) if spec.bronze in bronze else pages
     return bronze
 
 
 def refresh_plots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All plot sources extracted, united and deduplicated with the real priorities."""
-    out = refresh.refresh(spark, "plot", plot_bronze(spark, sf_dir))
+    out = refresh.refresh(spark, "plot", bronze_of(spark, sf_dir, "plot"))
     return out.decisions.groupBy("source", "decision").agg(F.count("*").alias("n"))
 
 
+def auction_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cache entries from parts, under the codes of the auction listings."""
+    number = F.expr("substring(code, 2)")
+    return catalog._part_cache(spark, sf_dir).withColumn("code", F.concat(F.lit("Q"), number, F.lit("-001")))
+
+
+def detail_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Detail pages of every second listing of two sources."""
+    k = F.col("o_orderkey")
+    rows = proxies.spread(proxies.table(spark, sf_dir, "orders"), "o_orderkey").where(k % 2 == 1)
+    land, home = (100 + k % 900).cast("string"), (50 + k % 300).cast("string")
+    pages = {
+        "Realting": (
+            F.concat(F.lit(fixed.SITES["Realting"] + "/cyprus/property/"), k),
+            F.concat(F.lit("<div>Land area</div> <div> "), (101 + k % 900).cast("string"), F.lit("</div><div>Total area</div> <div> "), home, F.lit("</div>")),
+        ),
+        "Kadis Estates": (
+            F.concat(F.lit("https://kadis.com.cy/property-"), k, F.lit("/x")),
+            F.concat(F.lit("<p>Plot Area "), land, F.lit(".5m2</p>")),
+        ),
+    }
+    each = [F.struct(F.lit(s).alias("source"), link.alias("link"), html.alias("html")) for s, (link, html) in pages.items()]
+    captured = F.timestamp_seconds(F.lit(1000)).alias("captured_at")
+    return rows.select(F.explode(F.array(*each)).alias("page")).select("page.source", "page.link", captured, "page.html")
+
+
+def refresh_houses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All house sources with terms, cache and details; the source without a taxonomy is reported."""
+    known = terms(spark, sf_dir).where(F.col("source") == "Pafilia")
+    out = refresh.refresh(
+        spark, "house", bronze_of(spark, sf_dir, "house"), known, detail_pages(spark, sf_dir), auction_cache(spark, sf_dir)
+    )
+    kept = out.listings.select("source", "ref", "price", "district", "houseSqm", "plotSqm", "beds", "image", F.lit(False).alias("failed"))
+    failed = spark.createDataFrame([(name, True) for name in out.failed], "source string, failed boolean")
+    return kept.unionByName(failed, allowMissingColumns=True)
+
+
 def snapshot_publish(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK1 and SRC1: two runs published side by side, the newest one read back, once more through JSON."""
     work = Workspace(spark, "publish")

@@ -93,10 +93,10 @@ def _match(kind: str, a: str, b: str) -> str:
     AND {gap} <= 0.03"""
 
 
-def _walk(kind: str) -> str:
-    """All sources listed: five steps, one per source, each against what is kept so far."""
-    parts, kept = [_rows(kind, PRIORITY)], "SELECT * FROM r WHERE false"
-    for i in range(len(PRIORITY)):
+def _walk(kind: str, rows: str | None = None, ranks: int = len(PRIORITY)) -> str:
+    """All sources listed: a step per source, each against what is kept so far. ``rows`` are the CTEs up to ``r``."""
+    parts, kept = [rows or _rows(kind, PRIORITY)], "SELECT * FROM r WHERE false"
+    for i in range(ranks):
         parts.append(f"""before{i} AS MATERIALIZED ({kept}),
 open{i} AS MATERIALIZED (SELECT * FROM r WHERE rank = {i}
   AND seq NOT IN (SELECT a.seq FROM r a JOIN before{i} k ON a.lk = k.lk WHERE a.rank = {i})

@@ -2,7 +2,7 @@
 
 from . import captures, fixed
 from .captures import CITIES, PLACES, TITLES
-from .oracle import HOUSES, houses, pick
+from .oracle import HOUSES, PART_CACHE, SEQ, _walk, houses, listing, pick
 
 TYPES = {
     "price": "DOUBLE", "houseSqm": "DOUBLE", "plotSqm": "DOUBLE", "beds": "INTEGER", "baths": "INTEGER",
@@ -39,7 +39,7 @@ def expect(
   {pick(CITIES, "seq % 25")} AS city1, {pick(CITIES, "(seq + 1) % 25")} AS city2,
   seq - CASE WHEN seq % 10 = 9 THEN 1 ELSE 0 END AS id FROM houses),
 b AS (SELECT * FROM f WHERE {valid} {first})
-SELECT {", ".join(shown)} FROM b WHERE {wanted}"""
+SELECT {", ".join(shown)}, {order.split(",")[0] if "," in order else "0"} AS walk_part, seq AS walk_seq FROM b WHERE {wanted}"""
 
 
 def agency(site: str, name: str, default: str) -> dict[str, str]:
@@ -107,7 +107,7 @@ def cyprus_properties(kind: str) -> str:
         }
         return expect("Cyprus Properties", kind, fields, wanted="p IS NOT NULL")
     return expect(
-        "Cyprus Properties", kind, fields | {"houseSqm": "area"}, unique="id, seq % 2", wanted="p IS NOT NULL"
+        "Cyprus Properties", kind, fields | {"houseSqm": "area"}, unique="id, seq % 2", order="seq % 2, seq", wanted="p IS NOT NULL"
     )
 
 
@@ -141,6 +141,35 @@ def post(source: str, districts, valid: str, fields: dict[str, str], wanted: str
     return expect(source, "house", common | fields, unique=None, valid=valid, wanted=wanted)
 
 
+# The district's final spelling, then what the cache and the detail pages of `captures.py` bring.
+CANON = """CASE district WHEN 'Pafos' THEN 'Paphos' WHEN 'Lefkosia' THEN 'Nicosia' WHEN 'Ammochostos' THEN 'Famagusta'
+  WHEN 'Germasogeia' THEN 'Limassol' WHEN 'Lemesos' THEN 'Limassol' ELSE district END"""
+SEEN = "s.source IN ('Realting', 'Kadis Estates') AND TRY_CAST(s.ref AS BIGINT) % 2 = 1"
+KEY = "TRY_CAST(s.ref AS BIGINT)"
+ENRICHED = f"""SELECT s.* REPLACE (
+  CASE WHEN s.source = 'eAuction Cyprus' THEN NULL WHEN {SEEN} AND s.source = 'Realting' THEN coalesce(s."houseSqm", 50 + {KEY} % 300)
+    ELSE s."houseSqm" END AS "houseSqm",
+  CASE WHEN s.source = 'eAuction Cyprus' THEN c."plotSqm" WHEN {SEEN} THEN 101 + {KEY} % 900 ELSE s."plotSqm" END AS "plotSqm",
+  CASE WHEN s.source = 'eAuction Cyprus' THEN c.image ELSE s.image END AS image)
+FROM scraped s LEFT JOIN (SELECT 'Q' || substr(ref, 2) || '-001' AS code, * FROM ({PART_CACHE})) c
+  ON s.source = 'eAuction Cyprus' AND s.ref = c.code"""
+
+
+def refreshed(kind: str, found: dict[str, str], enriched: str = "SELECT * FROM scraped") -> str:
+    """The walk over all sources' expected listings: CTEs ``ready`` (listings) and ``decided``."""
+    priority = fixed.HOUSE_PRIORITY if kind == "house" else fixed.PLOT_PRIORITY
+    registry = fixed.HOUSE_REGISTRY if kind == "house" else fixed.PLOT_REGISTRY
+    parts = " UNION ALL ".join(f"SELECT *, {registry.index(name)} AS walk_source FROM ({text})" for name, text in found.items())
+    area = 'beds, "houseSqm" AS area' if kind == "house" else '"plotSqm" AS area'
+    rows = f"""scraped AS MATERIALIZED (SELECT * REPLACE ({CANON} AS district),
+  row_number() OVER (ORDER BY walk_source, walk_part, walk_seq) AS seq FROM ({parts})),
+ready AS MATERIALIZED ({enriched}),
+r AS MATERIALIZED (SELECT seq, source, CAST(list_position({listing(priority)}, source) - 1 AS BIGINT) AS rank,
+  CAST(list_position({listing(priority)}, source) - 1 AS BIGINT) * {SEQ} + seq AS ord,
+  nullif(regexp_replace(lower(coalesce(link, '')), '/+$', ''), '') AS lk, price, district, {area} FROM ready)"""
+    return _walk(kind, rows, len(priority))
+
+
 def sql() -> dict[str, str]:
     bed_title = "CASE WHEN beds IS NOT NULL THEN beds || '{}' ELSE '{}' END"
     root = SITE["Altamira Real Estate"]
@@ -262,7 +291,18 @@ def sql() -> dict[str, str]:
             ("Cyprus Properties", cyprus_properties), ("EstateBud-WP agencies", nch),
         ):
             out[(registry, kind)] = build(kind)
-    named = {captures.query_name(registry, kind): text for (registry, kind), text in out.items()}
+    named = {
+        captures.query_name(registry, kind): f"SELECT * EXCLUDE (walk_part, walk_seq) FROM ({text})"
+        for (registry, kind), text in out.items()
+    }
+    plots = {registry: text for (registry, kind), text in out.items() if kind == "plot"}
+    named["refresh_plots"] = refreshed("plot", plots) + " SELECT source, decision, count(*) AS n FROM decided GROUP BY source, decision"
+    # The source without a taxonomy fails and the others go on.
+    sound = {registry: text for (registry, kind), text in out.items() if kind == "house" and registry != "Giovani Homes"}
+    columns = 'source, ref, price, district, "houseSqm", "plotSqm", beds, image'
+    named["refresh_houses"] = refreshed("house", sound, ENRICHED) + f""" SELECT {columns}, false AS failed
+  FROM ready WHERE seq IN (SELECT seq FROM decided WHERE decision = 'kept')
+UNION ALL SELECT 'Giovani Homes', {", ".join(["NULL"] * 7)}, true"""
     # One source with unique links: publishing keeps every extracted listing.
     named["stream_refresh"] = named[captures.query_name("Bazaraki", "plot")]
     named["snapshot_publish"] = houses("SELECT * FROM houses")
