@@ -1,7 +1,8 @@
 """Removal of repeated passages by hashed units of text.
 
-A text is cut into units: lines, and the sentences of a line. Units of three words or
-more are normalised (lower case, blanks collapsed) and hashed to 128 bits. Per digest the
+A text is cut into units: lines, and the sentences of a line. Full-width stops end a
+sentence without a blank too. Words are counted at blanks; in scripts without blanks, and
+in long strings, by letters (``size_of``). Units of three words or more are normalised (lower case, blanks collapsed) and hashed to 128 bits. Per digest the
 smallest doc_id is found over all documents; there the unit stays. Elsewhere, or when it
 comes again in its own document, it is a repeat. A run of repeated units is removed if
 it has ``RUN_WORDS`` words in all; shorter units between two removed ones go with them, so
@@ -26,20 +27,35 @@ from lodestone.session import Workspace
 
 UNIT_WORDS = 3
 RUN_WORDS = 8
+# Letters that count as a word: of any text, so that strings without blanks count; of scripts written without blanks.
+WORD_LETTERS, HAN_LETTERS, THAI_LETTERS = 12, 2, 5
 _END = re.compile(r"[.!?]+\s+|\n+")
+_FULL_STOP = re.compile("[。．！？｡]")
+_ANY_END = re.compile(r"[.!?]+\s+|[。．！？｡]+[」』）”’]*\s*|\n+")  # slower than _END
+_HAN = re.compile("[\u2e80-\u2fdf\u3005-\u3007\u3021-\u30ff\u31f0-\u31ff\u3400-\u4dbf\u4e00-\ua4cf\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff]")
+_THAI = re.compile("[\u0e01-\u0eff\u0f40-\u0fbc\u1000-\u109f\u1780-\u17d3]")
 _LAST = (1 << 63) - 1
 
 
+def size_of(unit: str, words: int) -> int:
+    """Words of a normalised unit of ``words`` between blanks, or as many as its letters make."""
+    if unit.isascii():
+        return max(words, len(unit) // WORD_LETTERS)
+    return max(words, len(unit) // WORD_LETTERS, len(_HAN.findall(unit)) // HAN_LETTERS + len(_THAI.findall(unit)) // THAI_LETTERS)
+
+
 def units(text: str) -> tuple[list[tuple[int, int]], list[int], list[bytes | None]]:
     """Spans that tile the text, their words, and their digests (None for short units)."""
     spans, words, digests, at = [], [], [], 0
-    for end in [m.end() for m in _END.finditer(text)] + [len(text)]:
+    ends = _END if text.isascii() or not _FULL_STOP.search(text) else _ANY_END
+    for end in [m.end() for m in ends.finditer(text)] + [len(text)]:
         if end == at:
             continue
         tokens = text[at:end].lower().split()
         spans.append((at, end))
-        words.append(len(tokens))
-        digests.append(xxhash.xxh3_128_digest(" ".join(tokens).encode("utf-8", "replace")) if len(tokens) >= UNIT_WORDS else None)
+        unit = " ".join(tokens)
+        words.append(len(tokens) if len(tokens) >= RUN_WORDS else size_of(unit, len(tokens)))  # no floor asks for more
+        digests.append(xxhash.xxh3_128_digest(unit.encode("utf-8", "replace")) if words[-1] >= UNIT_WORDS else None)
         at = end
     return spans, words, digests
 

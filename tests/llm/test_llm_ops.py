@@ -312,6 +312,22 @@ def test_lines_of_odd_texts(spark):
     assert lines.deduplicated(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize(
+    "passage",
+    [
+        "這是一段在許多文件中重複出現的文字，它沒有空白。第二句也在這裡結束！",
+        "これは多くの文書に現れる文章です。二つ目の文もここで終わります。",
+        "ข้อความนี้ปรากฏซ้ำในเอกสารหลายฉบับและไม่มีช่องว่างระหว่างคำเลย\n",
+        "q83hfkT0" * 20 + "\n",
+    ],
+)
+def test_lines_without_blanks(spark, passage):
+    assert all(lines.units(passage)[2])
+    rows = [(1, "Begin of one.\n" + passage + "独自の結び一。"), (2, "别的开头。" + passage + "End of two."), (3, "Two words\n" + passage)]
+    got = {r._row.doc_id: r.clean for r in lines.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "别的开头。End of two.", 3: "Two words\n"}
+
+
 @pytest.mark.parametrize("hot", [None, 7])
 def test_lines_of_many_rows_of_one_id(spark, hot):
     shared = [f"This is the shared line number {k} of all." for k in range(400)]
