@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import re
+import textwrap
 
 import numpy as np
 import pytest
@@ -526,6 +527,20 @@ def test_licenses_of_odd_files(spark):
     assert licenses.scanned(frame.limit(0)).count() == 0
 
 
+def test_licenses_of_whole_texts(spark):
+    def wrapped(text, mark=""):
+        return "".join(f"{mark}{x}\n" if x else mark.rstrip() + "\n" for p in text.split("\n") for x in textwrap.wrap(p, 76) or [""])
+
+    whole = dict(reversed(licenses.standard_texts()))  # the whole texts come first, so they stay
+    headers = {name: "\n\n".join(parts) for name, parts in licenses.HEADERS}
+    files = [(f"whole/{n}/LICENSE", wrapped(t.replace("<year>", "2020").replace("<owner>", "A. Nobody"))) for n, t in whole.items()]
+    files += [(f"whole/{n}/src/a.c", "int a;") for n in whole]
+    files += [(f"head/{n}/{k}.c", "/*\n" + wrapped("Copyright (C) 2020 A. Nobody\n\n" + t, mark) + "*/\n\nint a;") for n, t in headers.items() for k, mark in enumerate((" * ", ""))]
+    got = {r.path: r for r in licenses.scanned(spark.createDataFrame(files, "path string, text string")).collect()}
+    assert {p: r.license for p, r in got.items()} == {p: p.split("/")[1] for p, _ in files}
+    assert all(r.origin == ("inherited" if "/src/" in p else "own") for p, r in got.items())
+
+
 # --- 10: SimHash ---------------------------------------------------------------------------
 
 
