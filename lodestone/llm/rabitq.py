@@ -1,5 +1,6 @@
 """Near-duplicate vectors by randomised-rotation binary codes.
 
+Only vectors of one length are compared: each length has its own lists and rotation.
 Equal vectors collapse first. Each distinct vector has a home list, that of its nearest
 centroid (spherical k-means on a bounded sample), and visits lists of smaller number whose
 centroid is nearly as near (``MARGIN``); all vectors are indexed. In a list every home
@@ -16,9 +17,11 @@ link counts and a spanning forest, not the pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +37,8 @@ MARGIN = 0.2
 CONFIDENCE = 5.0
 CHUNK = 4_096
 STRIPE = 512
+# Vectors with more components are compared without codes, as their rotation would be too large.
+MOST_ROTATED = 4_096
 SEED = 11
 
 
@@ -44,6 +49,7 @@ def units(vectors: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
+@lru_cache(maxsize=2)
 def rotation(n: int) -> np.ndarray:
     q, r = np.linalg.qr(np.random.default_rng(SEED).standard_normal((n, n)))
     return q * np.sign(np.diag(r))
@@ -61,19 +67,24 @@ def centroids(sample: np.ndarray, count: int, rounds: int = 6) -> np.ndarray:
     return middle
 
 
-def links(codes_of: np.ndarray, others: np.ndarray, turn: np.ndarray, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs of unit vectors with a cosine of at least the threshold; of one set with itself each pair once."""
+def links(codes_of: np.ndarray, others: np.ndarray, turn: np.ndarray | None, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of unit vectors with a cosine of at least the threshold; of one set with itself each pair once.
+
+    Without a rotation all pairs are computed.
+    """
     d = codes_of.shape[1]
-    turned = (others @ turn).astype(np.float32)
+    turned = others.astype(np.float32) if turn is None else (others @ turn).astype(np.float32)
     for i in range(0, len(codes_of), STRIPE):
         rows = codes_of[i : i + STRIPE]
-        own = rows @ turn
+        own = rows if turn is None else rows @ turn
         code = np.where(own >= 0, 1.0, -1.0) / np.sqrt(d)
         factor = np.clip((code * own).sum(axis=1), 1e-6, 1.0)
         error = np.sqrt((1 - factor**2) / (factor**2 * max(1, d - 1)))
         likely = factor * (THRESHOLD - CONFIDENCE * error)  # on <code, y>: estimate plus confidence bound reaches the threshold
         certain = np.cos(np.minimum(np.pi, np.arccos(THRESHOLD) + np.arccos(factor)))  # below it no vector can
         least = (np.maximum(likely, certain) - 1e-5).astype(np.float32)
+        if turn is None:
+            code, least = own, np.full(len(own), THRESHOLD - 1e-3, np.float32)
         begin = i if same else 0
         a, b = np.nonzero(code.astype(np.float32) @ turned[begin:].T >= least[:, None])
         if same:
@@ -91,9 +102,9 @@ def _vectors(column) -> np.ndarray:
 def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
     """One row per row of ``vectors``: vec_id, n_links, component_id, kept.
 
-    A vector that is null, empty, zero, or holds a null or non-finite component, and one
-    that hasn't as many components as the longest, links with nothing. So does a row
-    without vec_id, whose component_id is null. Equal vectors link, in rows that repeat a
+    A vector that is null, empty, zero, or holds a null or non-finite component links with
+    nothing, and others only with vectors of their own length. A row without vec_id links
+    with nothing; its component_id is null. Equal vectors link, in rows that repeat a
     vec_id too: n_links counts the other rows linked, component_id is the smallest vec_id
     reachable. No rows give none. Other columns are not read.
     """
@@ -103,43 +114,47 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(embedding).cast(kind).alias("v"))
     sound = F.col("vec_id").isNotNull() & F.coalesce(F.size("v") > 0, F.lit(False)) & F.expr("forall(v, x -> x is not null and not isnan(x) and abs(x) < double('Infinity'))") & F.expr("exists(v, x -> x <> 0)")
     rows = rows.withColumn("ok", F.coalesce(sound, F.lit(False)))
-    width = rows.where("ok").agg(F.max(F.size("v"))).first()[0] or 0
-    rows = rows.withColumn("v", F.when(F.col("ok") & (F.size("v") == width), F.col("v"))).drop("ok")
+    rows = rows.withColumn("v", F.when(F.col("ok"), F.col("v"))).drop("ok")
     groups = ws.table("groups", rows.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies")))
-    count = groups.count()
-    lists = int(min(MOST_LISTS, max(1, count // LIST_VECTORS)))
-    if lists > 1:
-        sample = groups.where(common.share_of(count, FIT_SAMPLE, "v")).orderBy(F.xxhash64("v"), "id").limit(FIT_SAMPLE).select("v").toArrow()
-        middle = centroids(units(_vectors(sample.column("v"))), lists)
-    else:
-        middle = np.zeros((1, width))
+    middles = {}  # centroids of the lengths that have more than one list
+    for width, count in groups.groupBy(F.size("v").alias("width")).count().where(F.col("count") >= 2 * LIST_VECTORS).collect():
+        of_width = groups.where((F.size("v") == width) & common.share_of(count, FIT_SAMPLE, "v"))
+        sample = of_width.orderBy(F.xxhash64("v"), "id").limit(FIT_SAMPLE).select("v").toArrow()
+        middles[width] = centroids(units(_vectors(sample.column("v"))), int(min(MOST_LISTS, count // LIST_VECTORS)))
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            near = units(_vectors(batch.column("v"))) @ middle.T
-            home = near.argmax(axis=1)
-            visits = (near >= near.max(axis=1, keepdims=True) - MARGIN) & (np.arange(lists)[None, :] < home[:, None])
-            visits[np.arange(len(home)), home] = True
-            row, at = np.nonzero(visits)
-            part = batch.take(pa.array(row))
-            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(at == home[row]), *part.columns], ["list", "home", "v", "id", "copies"])
+            sizes = pc.list_value_length(batch.column("v")).to_numpy(zero_copy_only=False)
+            for width in np.unique(sizes):
+                own = batch.take(pa.array(np.flatnonzero(sizes == width)))
+                if width in middles:
+                    near = units(_vectors(own.column("v"))) @ middles[width].T
+                    home = near.argmax(axis=1)
+                    visits = (near >= near.max(axis=1, keepdims=True) - MARGIN) & (np.arange(near.shape[1])[None, :] < home[:, None])
+                    visits[np.arange(len(home)), home] = True
+                    row, at = np.nonzero(visits)
+                else:
+                    row, home = np.arange(len(own)), np.zeros(len(own), np.int64)
+                    at = home
+                part = own.take(pa.array(row))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(row), width, np.int32)), pa.array(at.astype(np.int32)), pa.array(at == home[row]), *part.columns], ["width", "list", "home", "v", "id", "copies"])
 
     id_type = groups.schema["id"].dataType.simpleString()
-    members = groups.mapInArrow(assign, f"list int, home boolean, v {kind}, id {id_type}, copies long")
+    members = groups.mapInArrow(assign, f"width int, list int, home boolean, v {kind}, id {id_type}, copies long")
     members = ws.table("members", members)
-    cuts = members.groupBy("list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))  # at most MOST_LISTS rows
-    members = members.join(F.broadcast(cuts), "list").withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks")).cast("int"))
+    cuts = members.groupBy("width", "list").agg(F.ceil(F.count("*") / CHUNK).cast("int").alias("chunks"))  # at most MOST_LISTS rows per length
+    members = members.join(F.broadcast(cuts), ["width", "list"]).withColumn("chunk", F.pmod(F.xxhash64("v"), F.col("chunks")).cast("int"))
     members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     members = members.withColumns({"low": F.least("chunk", "other"), "high": F.greatest("chunk", "other")})
-    turn = rotation(max(1, width))
 
     def search(key, table: pa.Table) -> pa.Table:
+        if len(table) < 2:
+            return table.select(["id", "copies", "id", "v"]).rename_columns(["id", "links", "root", "v"]).slice(0, 0)
         v, home = units(_vectors(table.column("v"))), table.column("home").to_numpy()
+        turn = rotation(v.shape[1]) if v.shape[1] <= MOST_ROTATED else None
         chunk, copies = table.column("chunk").to_numpy(), table.column("copies").to_numpy()
-        sides = [(chunk == key[1].as_py()) & home, (chunk == key[1].as_py()) & ~home, (chunk == key[2].as_py()) & home, (chunk == key[2].as_py()) & ~home]
-        pairs = [(0, 0), (0, 1)] if key[1] == key[2] else [(0, 2), (0, 3), (2, 1)]
+        sides = [(chunk == key[2].as_py()) & home, (chunk == key[2].as_py()) & ~home, (chunk == key[3].as_py()) & home, (chunk == key[3].as_py()) & ~home]
+        pairs = [(0, 0), (0, 1)] if key[2] == key[3] else [(0, 2), (0, 3), (2, 1)]
         n_links, found = np.zeros(len(v), np.int64), []
         for a, b in pairs:
             i, j = np.flatnonzero(sides[a]), np.flatnonzero(sides[b])
@@ -155,7 +170,7 @@ def near_duplicates(vectors: DataFrame, vec_id: str = "vec_id", embedding: str =
         ids = table.column("id").combine_chunks()
         return pa.table({"id": ids.take(pa.array(hit)), "links": pa.array(n_links[hit]), "root": ids.take(pa.array(to[hit])), "v": table.column("v").combine_chunks().take(pa.array(hit))})
 
-    found = members.groupBy("list", "low", "high").applyInArrow(lambda k, t: search(k, t), f"id {id_type}, links long, root {id_type}, v {kind}")
+    found = members.groupBy("width", "list", "low", "high").applyInArrow(lambda k, t: search(k, t), f"id {id_type}, links long, root {id_type}, v {kind}")
     found = ws.table("found", found)
     joined = common.components(ws, found.select(F.col("id").alias("a"), F.col("root").alias("b")))
     n_links = found.groupBy("v").agg(F.sum("links").alias("links"))

@@ -187,6 +187,17 @@ def test_odd_vectors(spark):
     assert rabitq.near_duplicates(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(4)
+    middle = rng.standard_normal(24)
+    some = [(i, (middle + rng.standard_normal(24) * 0.2).tolist()) for i in range(40)]
+    others = [(i, (middle[:16] + rng.standard_normal(16) * 0.2).tolist()) for i in range(40, 60)]
+    odd = [(60, [*middle.tolist(), 1.0]), (61, [1.0] * 5000), (62, [1.0] * 4999 + [2.0])]
+    got = sorted(tuple(r) for r in rabitq.near_duplicates(spark.createDataFrame(some + others + odd, "vec_id long, embedding array<double>")).collect())
+    assert got == sorted(r for part in (some, others, odd[:1], odd[1:]) for r in brute_vectors(part))
+    assert sum(r[1] for r in got[:40]) and sum(r[1] for r in got[40:60]) and [r[1:] for r in got[60:]] == [(0, 60, True), (1, 61, True), (1, 61, False)]
+
+
 def test_estimate_is_unbiased():
     rng = np.random.default_rng(2)
     turn = rabitq.rotation(64)
