@@ -68,21 +68,21 @@ def targets(ws: Workspace, sources: DataFrame, weights: tuple = WEIGHTS, share:
 def edges(ws: Workspace, docs: DataFrame, goals: DataFrame) -> DataFrame:
     """Per source: ``epochs``, and the last key that the rest of its target takes (``_edge``, null if none).
 
-    ``docs`` has source, size, _key, _id. Its prefix sums run inside ranges of (source,
+    ``docs`` has source, size, _key, _id, _text (a hash). Its prefix sums run inside ranges of (source,
     key), on top of the sums of the ranges before, so a hot source spreads over many tasks.
     """
-    order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("_id").asc_nulls_last()]
+    order = [F.col("source").asc_nulls_last(), F.col("_key"), F.col("_id").asc_nulls_last(), F.col("_text")]
     ranges = ws.table("ranges", docs.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     sums = ranges.groupBy("_part", "source").agg(F.sum("size").alias("_sum"))
     before = sums.withColumn("_before", F.sum("_sum").over(Window.partitionBy("source").orderBy("_part")) - F.col("_sum")).drop("_sum")
     goal = goals.select("source", (F.col("target") / F.greatest("source_size", F.lit(1))).alias("_share"), "target", "source_size")
     goal = goal.select("source", F.floor("_share").alias("epochs"), (F.col("target") - F.floor("_share") * F.col("source_size")).alias("_rest"))
     start = before.join(goal, before["source"].eqNullSafe(goal["source"])).select("_part", before["source"].alias("_source"), "_before", "epochs", "_rest")
-    upto = F.sum("size").over(Window.partitionBy("_part", "source").orderBy("_key", F.col("_id").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0))
+    upto = F.sum("size").over(Window.partitionBy("_part", "source").orderBy("_key", F.col("_id").asc_nulls_last(), "_text").rowsBetween(Window.unboundedPreceding, 0))
     placed = ranges.withColumn("_upto", upto)
     placed = placed.join(start, (placed["_part"] == start["_part"]) & placed["source"].eqNullSafe(start["_source"]))
     taken = F.col("_before") + F.col("_upto") - F.col("size") / 2 <= F.col("_rest")
-    edge = F.max(F.when(taken & (F.col("_rest") > 0), F.struct(F.col("_key").alias("key"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"))))
+    edge = F.max(F.when(taken & (F.col("_rest") > 0), F.struct(F.col("_key").alias("key"), F.col("_id").isNull().alias("none"), F.col("_id").alias("id"), F.col("_text").alias("text"))))
     found = placed.groupBy("source").agg(edge.alias("_edge"))
     return goal.join(found, goal["source"].eqNullSafe(found["source"]), "left").select(goal["source"], "epochs", "_edge")
 
@@ -93,15 +93,16 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most:
     ``taken`` is the document's size times the copies that the mix has of it, of which
     no document has more than ``most``. Null and empty texts have size 0 and take 0 words;
     ``copies`` says how often a row is in the mix. A null source is a source of its own,
-    the last. Rows with the same doc_id in a source share one key and one decision; null
-    ids are one id. The same rows and seed give the same mix in any order or layout. No
+    the last. Rows with the same doc_id in a source and quality weight share one key, and
+    null ids are one id; a hash of the text orders them, so that only rows equal in both
+    share one decision. The same rows and seed give the same mix in any order or layout. No
     rows give none.
     """
     ws = Workspace(docs.sparkSession, "mix")
     size = size_of(text)
     rows = common.packed(docs, source=F.col("source"), doc_id=F.col("doc_id"), text=F.col(text)).withColumn("size", size)
-    rows = rows.withColumn("_key", exponential_key(quality_of("text", F.col("size")), seed=seed)).drop("text")
-    narrow = ws.table("sizes", rows.select("source", F.col("doc_id").alias("_id"), "size", "_key"))
+    rows = rows.withColumn("_key", exponential_key(quality_of("text", F.col("size")), seed=seed)).withColumn("_text", common.text_key()).drop("text")
+    narrow = ws.table("sizes", rows.select("source", F.col("doc_id").alias("_id"), "size", "_key", "_text"))
     sources = narrow.groupBy("source").agg(F.sum("size").alias("source_size"))
     goals = ws.table("targets", targets(ws, sources, weights, share, most))
     plan = edges(ws, narrow, goals).withColumnRenamed("source", "_name")
@@ -112,7 +113,7 @@ def mixed(docs: DataFrame, weights: tuple = WEIGHTS, share: float = SHARE, most:
         salted = rows.withColumn("_salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)))
         copies = plan.withColumn("_copy", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<long>")))
         found = salted.join(copies, salted["source"].eqNullSafe(copies["_source"]) & (salted["_salt"] == copies["_copy"]))
-    own = F.struct(F.col("_key").alias("key"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
+    own = F.struct(F.col("_key").alias("key"), F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("_text").alias("text"))
     copies = F.col("epochs") + F.when(own <= F.col("_edge"), 1).otherwise(0)
     copies = F.when(F.col("source_size") > 0, copies).otherwise(0).cast("int")
     return found.select("_row", "doc_id", "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).cast("long").alias("taken"))

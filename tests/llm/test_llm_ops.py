@@ -470,6 +470,14 @@ def test_mix_of_odd_rows(spark, monkeypatch):
     assert mixing.mixed(frame.limit(0)).count() == 0
 
 
+def test_mix_of_rows_without_id_hits_its_target(spark):
+    rows = [(hot, f"some words of the row number {k}", source) for hot, source in ((None, "s"), (7, "t")) for k in range(200)]
+    got = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string")).select("_row.source", "size", "target", "taken").collect()
+    for source in "st":
+        own = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in own) - own[0].target) <= own[0].size / 2
+
+
 # --- 9: licences ---------------------------------------------------------------------------
 
 
