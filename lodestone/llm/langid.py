@@ -84,17 +84,18 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 def trained(labelled: DataFrame, text: str = "text", lang: str = "lang") -> Model:
     """Learns from rows with text and language; rows with a null in either, or no letter, are passed over.
 
-    Of each language at most ``SAMPLE_PER_LANGUAGE`` rows are taken, by hashes of their
-    texts, so the same rows give the same model. Without any row the model knows no
+    Of each language at most ``SAMPLE_PER_LANGUAGE`` distinct texts are taken, by their hashes, so the same rows give the same model. Without any row the model knows no
     language and answers ``und``.
     """
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.xxhash64(text).alias("_order"), F.col(text).alias("_text")).where("lang is not null and _text is not null")
     ws = Workspace(labelled.sparkSession, "langid")
-    # Of a frequent language only a share of the hashes, about four times the rows wanted, is looked at.
-    sizes = ws.table("languages", rows.groupBy("lang").agg(F.count("*").alias("_rows")))
-    some = F.pmod(F.xxhash64(F.lit("sample"), "_order"), F.lit(1 << 30)).cast("double") * F.col("_rows") < F.lit((1 << 30) * 4.0 * SAMPLE_PER_LANGUAGE)
+    # Of a language with many texts only a share of the hashes, about four times the texts wanted, is looked at.
+    # Copies are one text, so they don't shrink the sample.
+    texts = ws.table("texts", rows.select("lang", "_order").distinct())
+    sizes = ws.table("languages", texts.groupBy("lang").agg(F.count("*").alias("_texts")))
+    some = F.pmod(F.xxhash64(F.lit("sample"), "_order"), F.lit(1 << 30)).cast("double") * F.col("_texts") < F.lit((1 << 30) * 4.0 * SAMPLE_PER_LANGUAGE)
     first = F.row_number().over(Window.partitionBy("lang").orderBy("_order"))
-    keys = rows.select("lang", "_order").join(sizes, "lang").where(some).select("lang", "_order").distinct()
+    keys = texts.join(sizes, "lang").where(some).select("lang", "_order")
     keys = ws.table("sample", keys.withColumn("_n", first).where(F.col("_n") <= SAMPLE_PER_LANGUAGE).drop("_n"))
     if keys.count() <= common.SMALL_ROWS:
         keys = F.broadcast(keys)

@@ -197,19 +197,20 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
 def trained(docs: DataFrame, text: str = "text") -> tuple[Labels, Scorer]:
     """The label model of all documents and the scorer fitted on the bounded sample."""
     ws = Workspace(docs.sparkSession, "quality")
-    rows = ws.table("votes", labelled(docs, text))
-    patterns = sorted((r.pattern, r.n) for r in rows.groupBy("pattern").agg(F.count("*").alias("n")).collect())
-    labels = fitted_labels([p for p, _ in patterns], [n for _, n in patterns])
-    soft = {p: labels.posterior(pattern_of(p)) for p, _ in patterns}
+    texts = ws.table("votes", labelled(docs, text).groupBy("_order", "pattern").agg(F.count("*").alias("n")))  # a row per text
+    patterns = sorted(map(tuple, texts.groupBy("pattern").agg(F.sum("n"), F.count("*")).collect()))
+    labels = fitted_labels([p for p, _, _ in patterns], [n for _, n, _ in patterns])
+    soft = {p: labels.posterior(pattern_of(p)) for p, _, _ in patterns}
     bad = [p for p in soft if soft[p] < 0.5]
     half = FIT_SAMPLE // 2
     chosen = None
-    for one, n in ((F.col("pattern").isin(bad), sum(n for p, n in patterns if p in bad)), (~F.col("pattern").isin(bad), sum(n for p, n in patterns if p not in bad))):
-        part = rows.where(one & common.share_of(n, half, "_order")).distinct().orderBy(F.xxhash64("_order"), "_order").limit(half)
+    # The share is of distinct texts, so copies don't shrink the sample.
+    for one, n in ((F.col("pattern").isin(bad), sum(n for p, _, n in patterns if p in bad)), (~F.col("pattern").isin(bad), sum(n for p, _, n in patterns if p not in bad))):
+        part = texts.where(one & common.share_of(n, half, "_order")).select("_order", "pattern").orderBy(F.xxhash64("_order"), "_order").limit(half)
         chosen = part if chosen is None else chosen.union(part)
     keys = ws.table("sample", chosen)  # at most FIT_SAMPLE rows
-    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_order", F.xxhash64("_text"))
-    sample = texts.join(F.broadcast(keys), "_order").dropDuplicates(["_order"])
+    whole = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text")).withColumn("_order", F.xxhash64("_text"))
+    sample = whole.join(F.broadcast(keys), "_order").dropDuplicates(["_order"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

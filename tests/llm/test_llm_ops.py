@@ -78,6 +78,15 @@ def test_expectation_maximisation_finds_accuracies():
     assert np.abs(model.answers[0, :, 1] - right).max() < 0.05 and np.abs(model.answers[1, :, 2] - right).max() < 0.05
 
 
+def test_quality_sample_is_of_distinct_texts(spark, monkeypatch):
+    monkeypatch.setattr(quality, "FIT_SAMPLE", 20)
+    soft = []
+    monkeypatch.setattr(quality, "fitted_scorer", lambda at, value, given: soft.extend(given))
+    rows = [("",)] * 3000 + [("#$% " * (20 + k),) for k in range(30)] + [(f"This is the plain sentence number {k} of a good document.",) for k in range(100)]
+    quality.trained(spark.createDataFrame(rows, "text string"))
+    assert sum(p < 0.5 for p in soft) == 10 and sum(p >= 0.5 for p in soft) == 10
+
+
 # --- 2: WARC -------------------------------------------------------------------------------
 
 
@@ -437,6 +446,15 @@ def test_languages_of_odd_texts(spark, sf):
     assert {r.lang_pred for r in langid.identified(rows, empty).collect()} == {"und"}
 
 
+def test_languages_of_many_copies(spark, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_PER_LANGUAGE", 10)
+    names = []
+    monkeypatch.setattr(langid, "fitted", lambda given, at, share: names.extend(given))
+    rows = [(f"text number {'abcdefghij'[k % 10]}{'klmn'[k // 10]}", "xx") for k in range(40)] * 200 + [(f"ein anderer Text {k}", "de") for k in range(30)]
+    langid.trained(spark.createDataFrame(rows, "text string, lang string"))
+    assert collections.Counter(names) == {"xx": 10, "de": 10}
+
+
 # --- 8: mixing -----------------------------------------------------------------------------
 
 
