@@ -8,10 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestone.llm import bpe, common, fracmin, langid, licenses, lines, mixing, quality, rabitq, simhash, warc
+from lodestone.llm import audit, bpe, common, fracmin, langid, licenses, lines, mixing, pieces, quality, rabitq, resampling, simhash, warc
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,6 +88,19 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = resampling.importance(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.tokenized(common.table(spark, sf_dir, "documents"), PIECES, ("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+def filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.interactions(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_classifier": quality_classifier,
@@ -99,6 +113,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_source_mix": source_mix,
         "op9_license_scan": license_scan,
         "op10_simhash_near_dedup": simhash_near_dedup,
+        "op11_importance_resampling": importance_resampling,
+        "op12_sentencepiece": sentencepiece,
+        "op13_filter_audit": filter_audit,
     }
 
 
@@ -151,6 +168,69 @@ SELECT doc_id, size::BIGINT AS size, source_size::BIGINT AS source_size, target,
   (size * (epochs + CASE WHEN rest > 0 AND upto - size / 2 <= rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM r
 """
 
+# The checksums come from a table of 256 entries, made by its rule, folded over the bytes of each distinct word.
+RESAMPLING_SQL = r"""
+WITH RECURSIVE bits AS (
+  SELECT i AS byte, i::BIGINT AS c, 0 AS k FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc AS (SELECT list(c ORDER BY byte) AS t FROM bits WHERE k = 8),
+d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words
+  FROM documents
+), b AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM benchmark
+), dw AS (SELECT r, unnest(words) AS w FROM d), dn AS (SELECT r, w, count(*) AS n FROM dw GROUP BY ALL),
+v AS (
+  SELECT w, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, len(hex(encode(w))), 2), lambda i: ('0x' || substr(hex(encode(w)), 1 + i, 2))::BIGINT)),
+    lambda a, x: xor(a >> 8, t[1 + (xor(a, x) & 255)])), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM dn UNION SELECT w FROM b), crc
+), s AS (SELECT bucket, sum(n)::BIGINT AS s FROM dn JOIN v USING (w) GROUP BY bucket), t AS (SELECT bucket, count(*) AS t FROM b JOIN v USING (w) GROUP BY bucket),
+g AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+    / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE)))::BIGINT AS gain
+  FROM s FULL JOIN t USING (bucket)
+), w AS (SELECT r, sum(n * gain)::BIGINT AS weight FROM dn JOIN v USING (w) JOIN g USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(words) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0)
+    + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, 'null')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+  FROM d LEFT JOIN w USING (r)
+), o AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST) AS place, count(*) OVER () AS n FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features::BIGINT AS n_features, weight, score, CASE WHEN place <= n * 10 // 100 THEN place END AS rank
+FROM scored LEFT JOIN o USING (r)
+"""
+
+AUDIT_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, coalesce(source::VARCHAR, '') AS part, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), l AS (
+  SELECT doc_id, coalesce(max((quality = 1)::INT), 0) AS good, coalesce(max((toxic = 1)::INT), 0) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), f AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+    + 4 * (100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text))::INT + 8 * regexp_matches(text, '[#$%&*|]')::INT
+    + 16 * coalesce(t.doc_id > min(t.doc_id) OVER (PARTITION BY text), false)::INT AS fails
+  FROM t LEFT JOIN l ON l.doc_id = t.doc_id
+), c AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM f GROUP BY part, fails),
+orders(o, step, bit, before) AS (
+  SELECT '', 0, 0, 0
+  UNION ALL SELECT o || x, step + 1, 1 << (ascii(x) - 65), before + bit FROM orders, (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x) WHERE NOT contains(o, x)
+), steps AS (
+  SELECT full_order.o AS filter_order, p.step, p.bit, p.before
+  FROM orders p JOIN (SELECT o FROM orders WHERE step = 5) full_order ON starts_with(full_order.o, p.o) WHERE p.step > 0
+), r AS (
+  SELECT part, filter_order, step, bit,
+    coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0)::BIGINT AS kept,
+    coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit <> 0), 0)::BIGINT AS removed,
+    coalesce(sum(n) FILTER (fails & before <> 0 AND fails & bit <> 0), 0)::BIGINT AS redundant,
+    coalesce(sum(n) FILTER (fails = bit), 0)::BIGINT AS unique_fails,
+    coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit <> 0), 0)::BIGINT AS good_lost,
+    coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit <> 0), 0)::BIGINT AS toxic_lost
+  FROM c, steps GROUP BY part, filter_order, step, bit
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley FROM r
+"""
+
 
 def sql() -> dict[str, str]:
-    return {"op2_warc": WARC_SQL, "op3_embedding_near_dedup": EMBEDDING_SQL, "op8_source_mix": MIX_SQL}
+    return {"op2_warc": WARC_SQL, "op3_embedding_near_dedup": EMBEDDING_SQL, "op8_source_mix": MIX_SQL, "op11_importance_resampling": RESAMPLING_SQL, "op13_filter_audit": AUDIT_SQL}
