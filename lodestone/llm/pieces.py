@@ -3,10 +3,11 @@
 The library turns each blank into a marker and puts one before the text. If no piece of
 the model has a marker behind another character, no merge crosses the place before a run
 of markers, so a text's ids are those of its marked words, run of markers included, one
-after the other. Texts are cut there and coded as numbers of the words of their block (a
-bounded stretch of documents in one task). Each distinct word of all blocks is
-segmented by the library once; its ids go to the blocks that have it, and by the
-positions of its number back into the texts. Only numbers and distinct words travel.
+after the other. Texts are cut there; the library segments each distinct word of a task
+once, into the task's table, and the ids are joined back by the words' positions in the
+text. The table is bounded and nothing is shuffled: a table of all tasks' words would
+have to travel to every text, or every text to it, which costs more than it saves (see
+README).
 """
 
 from __future__ import annotations
@@ -15,24 +16,22 @@ import hashlib
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestone.session import Workspace
-
 MARK = "▁"
 MARKED = re.compile(f"{MARK}+[^{MARK}]*")
-# A block of documents ends at so many distinct words, or words in all; one document is never parted.
-BLOCK_WORDS = 60_000
-BLOCK_POSITIONS = 1 << 21
+# A worker's table of distinct words starts anew beyond this many.
+TABLE_WORDS = 1 << 19
+# Texts are encoded together until they have so many words.
+GROUP_WORDS = 1 << 18
 OUTPUTS = {"n_tokens": "long", "ids": "array<int>", "ids_sha256": "string", "decoded": "string", "decoded_sha256": "string"}
 _ARROW = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32()), "ids_sha256": pa.string(), "decoded": pa.string(), "decoded_sha256": pa.string()}
-_ROWS = 10_000
 
 
 class Codec:
@@ -45,6 +44,7 @@ class Codec:
         marked = self.model.normalize("  a  b ") == f"{MARK * 3}a{MARK * 2}b{MARK}"
         if crossing or not marked or self.model.piece_to_id(MARK) == self.model.unk_id():
             raise ValueError("pieces cross the markers, or the model lacks the marker or does not mark each blank: words can't be segmented apart")
+        self.decimal = [str(i) for i in range(len(self.model))]
 
     def words(self, text: str) -> list[str]:
         """The marked words of a whole text; they join to its normal form."""
@@ -53,8 +53,8 @@ class Codec:
     def segmented(self, words: list[str]) -> list[list[int]]:
         """The ids of each marked word. The marker that the library sets before it is taken off first."""
         plain = [w[1:].replace(MARK, " ") for w in words]
-        for word, text in zip(words, plain, strict=True):
-            if text and self.model.normalize(text) != word:
+        for word, text, normal in zip(words, plain, self.model.normalize(plain), strict=True):
+            if text and normal != word:
                 raise ValueError("the model's normal form is not its own normal form: words can't be segmented apart")
         # A text of one marker only, which no plain text gives, is that piece.
         return [ids if text else [self.model.piece_to_id(MARK)] for text, ids in zip(plain, self.model.encode(plain, num_threads=1), strict=True)]
@@ -63,64 +63,31 @@ class Codec:
         return self.model.decode(ids)
 
 
-@lru_cache(maxsize=2)
-def codec(model: str) -> Codec:
-    """One codec per Python worker; the model file is part of the installation on every executor."""
-    return Codec(model)
+class Table:
+    """The distinct words met so far, with their ids as decimal text: plain strings, which the garbage collector need not visit."""
 
+    def __init__(self, code: Codec):
+        self.code, self.known = code, {}
 
-def _coded(docs: DataFrame, model: str, keep: tuple[str, ...], text: str) -> DataFrame:
-    """Rows of two kinds: documents as word numbers of their block (``codes``), and the blocks' distinct words."""
-    kept = docs.select(F.struct(*[F.col(f"`{k}`") for k in keep]).alias("kept"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    types = kept.schema["kept"].dataType.simpleString()
+    def learn(self, texts: list[list[str]]) -> None:
+        """Segments the words that are new, each once, all of them together."""
+        if len(self.known) > TABLE_WORDS:
+            self.known = {}
+        fresh = [w for w in dict.fromkeys(chain.from_iterable(texts)) if w not in self.known]
+        decimal = self.code.decimal
+        for word, ids in zip(fresh, self.code.segmented(fresh), strict=True):
+            self.known[word] = ",".join([decimal[i] for i in ids])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, task = codec(model), TaskContext.get().partitionId()
-        block, number, size, docs = task << 32, {}, 0, []
-
-        def flushed() -> Iterator[pa.RecordBatch]:
-            width = np.dtype("<u2" if len(number) <= 1 << 16 else "<u4")
-            for own, codes in docs:
-                n = len(codes)
-                packed = pa.array([c.astype(width).tobytes() for c in codes], pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array([False] * n), pa.array([block] * n, pa.int64()), own, packed, pa.nulls(n, pa.int32()), pa.nulls(n, pa.string())], names)
-            words = list(number)
-            for i in range(0, len(words), _ROWS):
-                part = words[i : i + _ROWS]
-                n = len(part)
-                yield pa.RecordBatch.from_arrays([pa.array([True] * n), pa.array([block] * n, pa.int64()), pa.nulls(n, kind), pa.nulls(n, pa.binary()), pa.array(range(i, i + n), pa.int32()), pa.array(part, pa.string())], names)
-
-        names = ["is_word", "block", "kept", "codes", "number", "word"]
-        for batch in batches:
-            own, kind = batch.column("kept"), batch.column("kept").type
-            begin, codes = 0, []
-            for i, text in enumerate(batch.column("text")):
-                words = code.words(text.as_py())
-                codes.append(np.array([number.setdefault(w, len(number)) for w in words], dtype=np.uint32))
-                size += len(words)
-                if len(number) >= BLOCK_WORDS or size >= BLOCK_POSITIONS:
-                    docs.append((own.slice(begin, i + 1 - begin), codes))
-                    yield from flushed()
-                    block, number, size, docs, begin, codes = block + 1, {}, 0, [], i + 1, []
-            if codes:
-                docs.append((own.slice(begin), codes))
-        if docs:
-            yield from flushed()
-
-    return kept.mapInArrow(run, f"is_word boolean, block long, kept {types}, codes binary, number int, word string")
-
-
-def segments(words: DataFrame, model: str) -> DataFrame:
-    """The table of distinct marked words: ``word`` and its ``ids`` (packed ints), each segmented once."""
+    def of(self, words: list[str]) -> str:
+        """The ids of learned words, in order, joined by commas."""
+        known = self.known
+        return ",".join([known[w] for w in words])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = codec(model)
-        for batch in batches:
-            found = code.segmented(batch.column("word").to_pylist())
-            packed = pa.array([np.array(ids, "<i4").tobytes() for ids in found], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("word"), packed], ["word", "ids"])
 
-    return words.select("word").distinct().mapInArrow(run, "word string, ids binary")
+@lru_cache(maxsize=2)
+def codec(model: str) -> Codec:
+    """One codec per Python worker; the model file is part of the installation on every executor."""
+    return Codec(model)
 
 
 def tokenized(docs: DataFrame, model: str, outputs: tuple[str, ...] = ("n_tokens", "ids"), keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
@@ -132,44 +99,49 @@ def tokenized(docs: DataFrame, model: str, outputs: tuple[str, ...] = ("n_tokens
     output. Raises where the model's pieces can cross markers.
     """
     codec(model)  # a model that can't be cut at its markers fails here, not in a task
-    ws = Workspace(docs.sparkSession, "pieces")
-    coded = ws.table("coded", _coded(docs, model, keep, text), by="is_word")
-    words = coded.where("is_word").select("block", "number", "word")
-    table = ws.table("segments", segments(words, model))
-    own = words.join(table, "word").select(F.col("block").alias("_block"), "number", "ids")
-    texts = coded.where("NOT is_word").select("block", "kept", "codes")
-    types = texts.schema["kept"].dataType
-    columns = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in types.fields] + [f"{o} {OUTPUTS[o]}" for o in outputs])
-
-    def joined(left: pa.Table, right: pa.Table) -> pa.Table:
+    kept = docs.select(*keep, F.col(text).alias("_piece_text"))
+    columns = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields[:-1]] + [f"{o} {OUTPUTS[o]}" for o in outputs])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code = codec(model)
-        order = np.argsort(right.column("number").to_numpy())
-        packed = [right.column("ids")[int(i)].as_py() for i in order]
-        flat = np.frombuffer(b"".join(packed), "<i4")
-        sizes = np.array([len(p) // 4 for p in packed], dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        decimal = [",".join(map(str, np.frombuffer(p, "<i4").tolist())) for p in packed] if "ids_sha256" in outputs else []
-        width = np.dtype("<u2" if len(packed) <= 1 << 16 else "<u4")
-        found = {o: [] for o in outputs}
-        for codes in left.column("codes"):
-            at = np.frombuffer(codes.as_py(), width).astype(np.int64)
-            n = sizes[at]
-            total = int(n.sum())
-            ids = flat[np.repeat(starts[at] - (np.cumsum(n) - n), n) + np.arange(total)]
-            if "decoded" in found or "decoded_sha256" in found:
-                back = code.decode(ids.tolist()) if total else ""
-            for o in outputs:
-                if o == "n_tokens":
-                    found[o].append(total)
-                elif o == "ids":
-                    found[o].append(ids)
-                elif o == "ids_sha256":
-                    found[o].append(hashlib.sha256(",".join([decimal[c] for c in at.tolist()]).encode()).hexdigest())
-                elif o == "decoded":
-                    found[o].append(back)
-                else:
-                    found[o].append(hashlib.sha256(back.encode()).hexdigest())
-        kept = left.select(["kept"]).flatten()
-        return pa.Table.from_arrays([*kept.columns, *[pa.array(found[o], _ARROW[o]) for o in outputs]], [*[f.name for f in types.fields], *outputs])
-
-    return texts.groupBy("block").cogroup(own.groupBy("_block")).applyInArrow(joined, columns)
+        table = Table(code)
+        for batch in batches:
+            found = {o: [] for o in outputs}
+            for joined in _encoded(table, batch.column(len(keep))):
+                ids = np.fromstring(joined, np.int32, sep=",") if joined else np.empty(0, np.int32)
+                if "decoded" in found or "decoded_sha256" in found:
+                    back = code.decode(ids.tolist()) if joined else ""
+                for o in outputs:
+                    if o == "n_tokens":
+                        found[o].append(len(ids))
+                    elif o == "ids":
+                        found[o].append(pa.array(ids))
+                    elif o == "ids_sha256":
+                        found[o].append(hashlib.sha256(joined.encode()).hexdigest())
+                    elif o == "decoded":
+                        found[o].append(back)
+                    else:
+                        found[o].append(hashlib.sha256(back.encode()).hexdigest())
+            arrays = [pa.array(found[o], _ARROW[o]) if o != "ids" else _lists(found[o]) for o in outputs]
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *arrays], [*keep, *outputs])
+
+    return kept.mapInArrow(run, columns)
+
+
+def _encoded(table: Table, texts: pa.Array) -> Iterator[str]:
+    """The ids of each text, as decimal text; the table learns a bounded number of words at a time, or one text's."""
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        group.append(table.code.words(text.as_py() or ""))
+        size += len(group[-1])
+        if size >= GROUP_WORDS or i + 1 == len(texts):
+            table.learn(group)
+            yield from map(table.of, group)
+            group, size = [], 0
+
+
+def _lists(rows: list[pa.Array]) -> pa.Array:
+    offsets = [0]
+    for r in rows:
+        offsets.append(offsets[-1] + len(r))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.concat_arrays(rows) if rows else pa.array([], pa.int32()))

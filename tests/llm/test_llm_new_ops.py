@@ -113,7 +113,8 @@ ODD = [
 
 
 def test_sentencepiece_of_odd_rows(spark, monkeypatch, library):
-    monkeypatch.setattr(pieces, "BLOCK_WORDS", 5)
+    monkeypatch.setattr(pieces, "TABLE_WORDS", 5)
+    monkeypatch.setattr(pieces, "GROUP_WORDS", 9)
     rng = random.Random(1)
     texts = [*ODD, *["".join(rng.choices("ab ▁é\n漢😀.", k=rng.randint(1, 40))) for _ in range(300)]]
     rows = [(i, t, 1, "x") for i, t in enumerate(texts)] + [(None, "a b", 1, None), (None, "a b", 1, None), (1, "b", 2, "y"), (1, "b", 2, "y")]
@@ -130,16 +131,15 @@ def test_sentencepiece_of_odd_rows(spark, monkeypatch, library):
     assert pieces.tokenized(docs.limit(0), queries.PIECES).count() == 0
 
 
-def test_sentencepiece_of_many_words_in_one_document(spark, library):
-    text = " ".join(f"w{i}x" for i in range(70_000))  # wider numbers than 16 bits
-    docs = spark.createDataFrame([(1, text), (2, "w1x w2x")], "doc_id long, text string").coalesce(1)
-    got = {r.doc_id: list(r.ids) for r in pieces.tokenized(docs, queries.PIECES).collect()}
-    assert got == {1: library.encode(text), 2: library.encode("w1x w2x")}
-
-
-def test_each_word_is_segmented_once(spark):
-    words = spark.createDataFrame([("▁a",), ("▁a",), ("▁b",), ("▁",)], "word string").repartition(3)
-    assert sorted(r.word for r in pieces.segments(words, queries.PIECES).collect()) == ["▁", "▁a", "▁b"]
+def test_each_word_is_segmented_once(library, monkeypatch):
+    code = pieces.codec(queries.PIECES)
+    seen = []
+    monkeypatch.setattr(code, "segmented", lambda words, own=code.segmented: seen.extend(words) or own(words))
+    table = pieces.Table(code)
+    for text in ("a b a", "b  c", "a b c  c "):
+        table.learn([code.words(text), code.words(text)])
+        assert table.of(code.words(text)) == ",".join(map(str, library.encode(text)))
+    assert sorted(seen) == sorted(set(seen)) == ["▁", "▁a", "▁b", "▁c", "▁▁c"]
 
 
 # --- 13: filter audit ----------------------------------------------------------------------
