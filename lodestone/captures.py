@@ -18,7 +18,7 @@ from .schema import CARD_TEXT
 from .session import Workspace
 from .sources import extract, proxies, readers
 from .sources.specs import specs
-from .streaming import ingest
+from .streaming import ingest, silver
 
 OUT = (
     "source", "kind", "ref", "title", "price", "priceDisplay", "location", "district", "image", "link", "houseSqm",
@@ -125,7 +125,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
         query_name(spec.registry, kind): query(spec.registry, kind) for kind in ("house", "plot") for spec in specs(kind)
     }
-    return out | {"stream_refresh": stream_refresh, "refresh_plots": refresh_plots, "refresh_houses": refresh_houses, "snapshot_publish": snapshot_publish}
+    return out | {"stream_refresh": stream_refresh, "stream_runs": stream_runs, "refresh_plots": refresh_plots, "refresh_houses": refresh_houses, "snapshot_publish": snapshot_publish}
 
 
 def shown(listings: DataFrame) -> DataFrame:
@@ -144,6 +144,25 @@ def stream_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(refresh.latest(spark, f"{work.path}/snapshot"))
 
 
+def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ST1, ST2, U4: two runs of all plot sources streamed into the store of cards, compacted, and published.
+
+    The first run misses every seventh page, so the second publication decides those rows, and
+    what they reach, and leaves the others.
+    """
+    work = Workspace(spark, "stream-runs")
+    store = silver.Silver(spark, f"{work.path}/silver")
+    for run, missing in ((1, F.col("page_no") % 7 == 0), (2, F.lit(False))):
+        for form, pages in bronze_of(spark, sf_dir, "plot").items():
+            folder = f"{work.path}/bronze-{form}"
+            pages.where(~missing).withColumn("run", F.lit(run).cast("bigint")).write.mode("append").parquet(folder)
+            ingest.ingest_cards(spark, "plot", form, folder, store.path, f"{work.path}/checkpoint-{form}").awaitTermination()
+        ingest.republish(spark, "plot", store.path, f"{work.path}/snapshot", run, since=run - 1 or None)
+        store.compact("plot")
+        store.expire("plot", keep_runs=1)
+    return shown(refresh.latest(spark, f"{work.path}/snapshot"))
+
+
 def bronze_of(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
     """Captures of all sources of a dataset, in their bronze tables."""
     bronze: dict[str, DataFrame] = {}

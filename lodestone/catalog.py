@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from . import fixed
 from .functions import labels, numbers as n, places, text as t
-from .operators import dedup, documents, enrich
+from .operators import dedup, dedup_changes, documents, enrich
 from .plans import query as q, stats
 from .session import Workspace
 from .sources import extract, proxies, readers
@@ -195,6 +195,20 @@ def dedup_unlisted_sources(spark, sf):
     return dedup.decide(proxies.houses(spark, sf), rule)
 
 
+@register
+def dedup_incremental(spark, sf):
+    """U3 and ST1: decisions of all houses, from those of an earlier run where some were absent, others priced or linked otherwise."""
+    new = proxies.houses(spark, sf)
+    k = col("seq")
+    old = new.where(k % 41 != 0).withColumns(
+        {"price": F.when(k % 43 == 0, col("price") + 5000).otherwise(col("price")), "link": F.when(k % 47 != 0, col("link"))}
+    )
+    old = old.unionByName(new.where(k % 53 == 0).withColumns({"seq": k + (1 << 40), "link": F.lit(None).cast("string")}))
+    known = Workspace(spark, "dedup-before").table("rows", old.select(*dedup_changes.matching_columns(HOUSE_RULE)))
+    decided = dedup.decide(known, HOUSE_RULE)
+    return dedup_changes.decide_changes(known, decided, new, HOUSE_RULE).drop("again")
+
+
 @register
 def dedup_report(spark, sf):
     """A5 for houses and plots."""

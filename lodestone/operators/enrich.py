@@ -121,24 +121,42 @@ def detail_fields(detail_html: DataFrame) -> DataFrame:
     )
 
 
-def _join(rows: DataFrame, side: DataFrame, on: tuple[str, ...], n_rows: int | None, hot_rows: int) -> DataFrame:
+def _join(
+    rows: DataFrame, side: DataFrame, on: tuple[str, ...], n_rows: int | None, hot_rows: int, stored: bool = False
+) -> DataFrame:
     """Left join of listings with a side that has one row per key. With the number of
     rows known, hot keys are found and sliced; else skew is left to the adaptive join."""
     hot = HotKeys(on, None) if n_rows is None else HotKeys.find(rows, on, n_rows, hot_rows, "seq")
-    return hot.left_join(rows, side, "seq")
+    return hot.left_join_stored(rows, side) if stored else hot.left_join(rows, side, "seq")
+
+
+def store_keyed(side: DataFrame, table: str, path: str, key: tuple[str, ...], buckets: int) -> DataFrame:
+    """Write a cache or detail table in sorted buckets of its key and return it.
+
+    Joins on the key (``stored=True``) shuffle the listings only, if there are at least as many
+    buckets as shuffle partitions; with fewer Spark takes the shuffle for the better plan.
+    """
+    (
+        side.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).option("path", path)
+        .mode("overwrite").saveAsTable(table)
+    )
+    return side.sparkSession.table(table)
 
 
 def merge_details(
-    listings: DataFrame, details: DataFrame, n_rows: int | None = None, hot_rows: int = HOT_ROWS
+    listings: DataFrame, details: DataFrame, n_rows: int | None = None, hot_rows: int = HOT_ROWS, stored: bool = False
 ) -> DataFrame:
-    """Left join by link with each source's merge policy; rows that cannot match skip the shuffle."""
+    """Left join by link with each source's merge policy; rows that cannot match skip the shuffle.
+
+    ``stored`` says that the details are a table of `store_keyed` by source and link.
+    """
     asks = F.coalesce(
         F.col("source").isin(*MERGE_POLICY)
         & F.col("link").isNotNull()
         & (F.col("link") != fixed.SITES["Altamira Real Estate"]),
         F.lit(False),
     )
-    joined = _join(listings.where(asks), details, ("source", "link"), n_rows, hot_rows)
+    joined = _join(listings.where(asks), details, ("source", "link"), n_rows, hot_rows, stored)
     seen = F.col("d_seen").isNotNull()
     values = {}
     for field in DETAIL_FIELDS:
@@ -162,12 +180,16 @@ CACHE_FIELDS = ("image", "images", "houseSqm", "plotSqm", "share", "propertyType
 
 
 def merge_cache(
-    listings: DataFrame, cache: DataFrame, source: str = "eAuction Cyprus", n_rows: int | None = None, hot_rows: int = HOT_ROWS
+    listings: DataFrame, cache: DataFrame, source: str = "eAuction Cyprus", n_rows: int | None = None, hot_rows: int = HOT_ROWS,
+    stored: bool = False,
 ) -> DataFrame:
-    """Left join of one source's listings with the cache by code; an unmatched row gets nulls."""
+    """Left join of one source's listings with the cache by code; an unmatched row gets nulls.
+
+    ``stored`` says that the cache is a table of `store_keyed` by code.
+    """
     own = F.col("source") == source
     facts = cache.select(F.col("code").alias("ref"), *[F.col(f).alias(f"c_{f}") for f in CACHE_FIELDS])
-    joined = _join(listings.where(own), facts, ("ref",), n_rows, hot_rows)
+    joined = _join(listings.where(own), facts, ("ref",), n_rows, hot_rows, stored)
     joined = joined.withColumns({f: F.col(f"c_{f}").cast(listings.schema[f].dataType) for f in CACHE_FIELDS})
     return joined.select(*listings.columns).unionByName(listings.where(F.coalesce(~own, F.lit(True))))
 

@@ -68,6 +68,24 @@ class HotKeys:
         )
         return left.join(copies, [*on, "_slot"], "left").drop("_slot")
 
+    def left_join_stored(self, rows: DataFrame, side: DataFrame) -> DataFrame:
+        """``rows LEFT JOIN side`` for a side stored in buckets of ``on``, which stays where it lies.
+
+        Slices would part a bucket, so the entries of the hot keys (at most 2 * MAX_HOT) are
+        broadcast instead, and rows with a null key are not moved at all.
+        """
+        on = list(self.on)
+        known = _all_present(self.on)
+        keyed, alone = rows.where(known), rows.where(~known)
+        if self.keys is None:
+            joined = keyed.join(side, on, "left")
+        else:
+            hot = F.broadcast(self.keys.select(*on))
+            few = F.broadcast(side.join(hot, on, "left_semi"))
+            joined = keyed.join(hot, on, "left_anti").join(side, on, "left")
+            joined = joined.unionByName(keyed.join(hot, on, "left_semi").join(few, on, "left"))
+        return joined.unionByName(alone, allowMissingColumns=True)
+
 
 def _all_present(on) -> Column:
     test = F.lit(True)

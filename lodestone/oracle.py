@@ -326,6 +326,7 @@ SELECT s_suppkey, CASE WHEN word IS NULL THEN 'Other' WHEN word = 'PAFOS' THEN '
         "same_property_matches": _matches("house"),
         "same_plot_matches": _matches("plot"),
         "dedup_houses": _walk("house") + " SELECT * FROM decided",
+        "dedup_incremental": _walk("house") + " SELECT * FROM decided",
         "dedup_plots": _walk("plot") + " SELECT * FROM decided",
         "dedup_unlisted_sources": _rounds("house", PRIORITY[:2], 12) + " SELECT * FROM decided",
         "dedup_report": f"SELECT * FROM {_report('house')} UNION ALL SELECT * FROM {_report('plot')}",

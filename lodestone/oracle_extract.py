@@ -303,6 +303,8 @@ def sql() -> dict[str, str]:
     named["refresh_houses"] = refreshed("house", sound, ENRICHED) + f""" SELECT {columns}, false AS failed
   FROM ready WHERE seq IN (SELECT seq FROM decided WHERE decision = 'kept')
 UNION ALL SELECT 'Giovani Homes', {", ".join(["NULL"] * 7)}, true"""
+    named["stream_runs"] = refreshed("plot", plots) + """ SELECT * EXCLUDE (walk_source, walk_part, walk_seq, seq)
+  FROM ready WHERE seq IN (SELECT seq FROM decided WHERE decision = 'kept')"""
     # One source with unique links: publishing keeps every extracted listing.
     named["stream_refresh"] = named[captures.query_name("Bazaraki", "plot")]
     named["snapshot_publish"] = houses("SELECT * FROM houses")

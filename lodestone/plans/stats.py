@@ -7,16 +7,21 @@ from .. import fixed
 from ..functions.text import link_key
 
 
-def stats_bar(listings: DataFrame) -> DataFrame:
-    """Total, sources, with photo, average asking price (half up, 0 when none), districts."""
+def per_place(listings: DataFrame, *also: str) -> DataFrame:
+    """What the statistics need of the listings, one row per source and district: such rows can be added up."""
     has_image = F.coalesce(F.col("image") != "", F.lit(False))
-    per_place = listings.groupBy("source", "district").agg(
+    return listings.groupBy(*also, "source", "district").agg(
         F.count("*").alias("n"),
         F.count_if(has_image).alias("photos"),
         F.sum("price").alias("asked"),
         F.count("price").alias("priced"),
+        F.min("seq").alias("first_seq"),
     )
-    return per_place.agg(
+
+
+def bar_of(places: DataFrame) -> DataFrame:
+    """The stats bar from rows of `per_place`, of one or several parts of the listings."""
+    return places.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
         F.count_distinct("source").alias("sources"),
         F.coalesce(F.sum("photos"), F.lit(0)).alias("with_photo"),
@@ -25,6 +30,11 @@ def stats_bar(listings: DataFrame) -> DataFrame:
     )
 
 
+def stats_bar(listings: DataFrame) -> DataFrame:
+    """Total, sources, with photo, average asking price (half up, 0 when none), districts."""
+    return bar_of(per_place(listings))
+
+
 def facet_sources(listings: DataFrame) -> DataFrame:
     """Listings per source, in first-seen order."""
     return (

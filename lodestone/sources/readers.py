@@ -1,12 +1,13 @@
 """Readers and writers for captures, caches and snapshots."""
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import fixed, schema
 from ..functions.text import blank_to_null, grab_all
+from ..session import Workspace
 
 
 def snapshot_json(spark: SparkSession, path: str, array: bool = False) -> DataFrame:
@@ -34,6 +35,82 @@ def enrichment_cache(spark: SparkSession, path: str) -> DataFrame:
     return text.select(F.explode(entries).alias("code", "entry")).select("code", "entry.*")
 
 
+# Code points of a cache file between closing braces: escapes go first, then whole strings.
+_ESCAPE, _STRING = r"\\.", r'"[^"]*("|$)'
+_PLACE = ("_file", "_block", "_at")
+
+
+def _before(pieces: DataFrame, column: str, out: str) -> DataFrame:
+    """Adds the sum of ``column`` over all earlier pieces of the file.
+
+    Pieces are summed within their block, a split of the file, and blocks over the file by
+    one row each, so no task has to see a whole file.
+    """
+    here = Window.partitionBy("_file", "_block").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    sums = pieces.groupBy("_file", "_block").agg(F.sum(column).alias("_sum"))
+    blocks = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("_file", "_block", F.coalesce(F.sum("_sum").over(blocks), F.lit(0)).alias("_earlier"))
+    return (
+        pieces.withColumn(out, F.coalesce(F.sum(column).over(here), F.lit(0)))
+        .join(F.broadcast(sums), ["_file", "_block"])  # a row per split of the files
+        .withColumn(out, F.col(out) + F.col("_earlier")).drop("_earlier")
+    )
+
+
+def cache_scan(spark: SparkSession, path: str) -> DataFrame:
+    """The entries of keyed cache files ``{code: {field: value}}``, each file read by many tasks.
+
+    The files are split at closing braces, wherever a task's share of bytes ends. Quotes
+    counted over the pieces before tell whether a piece begins inside a string, and braces
+    outside strings at which depth; so pieces that are one whole entry are parsed where
+    they lie, and only the others (a brace in a string, an object in an entry) are joined, in
+    order. Of a code that occurs several times the last entry counts. An entry that doesn't
+    parse gives no row; no file gives no rows. A file may hold several objects one after
+    the other.
+    """
+    try:
+        text = spark.read.option("lineSep", "}").text(path)
+    except AnalysisException as err:
+        if err.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema.CACHE)
+    place = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"), F.monotonically_increasing_id().alias("_at")]
+    work = Workspace(spark, "cache-scan")
+    pieces = work.table("pieces", text.select(*place, "value"))
+
+    plain = F.regexp_replace("value", _ESCAPE, "")
+    quotes = F.length(plain) - F.length(F.replace(plain, F.lit('"')))
+
+    def opened(text: Column) -> Column:
+        return F.length(F.regexp_replace(F.regexp_replace(text, _STRING, ""), r"[^{]", ""))
+
+    # Short rows: what a piece holds if it begins outside a string, and if inside one.
+    counts = pieces.select(*_PLACE, quotes.alias("q"), opened(plain).alias("out"), opened(F.concat(F.lit('"'), plain)).alias("in"))
+    counts = _before(work.table("counts", counts), "q", "quotes")
+    inside, ends_inside = F.col("quotes") % 2 == 1, (F.col("quotes") + F.col("q")) % 2 == 1
+    closes = F.when(ends_inside, 0).otherwise(1)
+    depths = counts.select(*_PLACE, inside.alias("inside"), closes.alias("closes"), (F.when(inside, F.col("in")).otherwise(F.col("out")) - closes).alias("step"))
+    depths = _before(work.table("steps", depths), "step", "depth")
+    ends = (F.col("closes") == 1) & (F.col("depth") + F.col("step") == 1)
+    marked = work.table("marked", depths.withColumn("ends", ends.cast("int")))
+    whole = F.col("ends").cast("boolean") & ~F.col("inside") & (F.col("depth") <= 1)
+    parts = _before(marked, "ends", "entry").where(~whole).select(*_PLACE, "entry", "ends")
+    parts = work.table("parts", parts)
+
+    # Of the text only the parts of entries that were cut travel.
+    alone = pieces.join(parts.select(*_PLACE), list(_PLACE), "left_anti")
+    cut = pieces.join(parts, list(_PLACE)).groupBy("_file", "entry").agg(
+        F.sort_array(F.collect_list(F.struct("_block", "_at", "value"))).alias("_of"), F.max("ends").alias("ends")
+    )
+    first = F.col("_of")[0]
+    cut = cut.where("ends = 1").select("_file", first["_block"].alias("_block"), first["_at"].alias("_at"), F.array_join(F.col("_of")["value"], "}").alias("value"))
+    one = F.concat(F.lit("{"), F.regexp_replace("value", r"^[\s,{}]*", ""), F.lit("}}"))
+    parsed = F.from_json(one, T.MapType(schema.STR, schema.CACHE_ENTRY))
+    entries = alone.unionByName(cut).select(*_PLACE, F.explode(parsed).alias("code", "entry"))
+    last = entries.groupBy("code").agg(F.max_by("entry", F.struct(*_PLACE)).alias("entry"))
+    return last.select("code", "entry.*")
+
+
 def _each(df: DataFrame, array: Column, name: str, drop: tuple[str, ...]) -> DataFrame:
     """One row per element. The outer form keeps Spark from inferring a filter that
     would evaluate the array, a whole parse or split, a second and third time."""
