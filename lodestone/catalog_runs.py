@@ -57,8 +57,8 @@ def publish_gate(spark: SparkSession, sf: str) -> DataFrame:
 def cache_text(entries: DataFrame, path: str, per_object: int = 1_000) -> None:
     """Cache entries as text: JSON objects of some entries each, one after the other, an entry per line."""
     fields = [c for c in entries.columns if c != "code"]
-    line = F.concat(F.to_json(F.struct("code")), F.lit(": "), F.to_json(F.struct(*fields)))
-    line = F.regexp_replace(line, r'^\{"code":(.*?)\}: ', r"\n  $1: ")
+    name = F.regexp_extract(F.to_json(F.struct("code")), r'^\{"code":(.*)\}$', 1)
+    line = F.concat(F.lit("\n  "), name, F.lit(": "), F.to_json(F.struct(*fields)))
     blocks = entries.withColumn("_block", F.pmod(F.xxhash64("code"), F.greatest(F.lit(1), F.lit(entries.count() // per_object))))
     # The entries of an object are bounded by the number of objects, which grows with them.
     texts = blocks.groupBy("_block").agg(F.concat(F.lit("{"), F.array_join(F.sort_array(F.collect_list(line)), ","), F.lit("\n}")).alias("value"))
