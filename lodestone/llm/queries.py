@@ -67,20 +67,34 @@ def source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", "taken")
 
 
-def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+def as_files(docs: DataFrame) -> DataFrame:
     """The documents as files: a directory per source, below it one per thousand and per hundred ids; of each hundred one is a licence file.
 
-    Ids of a source are 20 apart, so ``doc_id div 20 % 5 = 0`` picks one in five.
+    Ids of a source are 20 apart, so ``doc_id div 20 % 5 = 0`` picks one in five. A document
+    without id is a file named by a hash of its text. ``doc_id`` stays beside the path.
     """
-    docs = common.table(spark, sf_dir, "documents")
-    name = F.when(F.expr("doc_id div 20 % 5") == 0, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")))
+    named = F.when(F.expr("doc_id div 20 % 5") == 0, F.concat(F.lit("LICENSE-"), "doc_id")).otherwise(F.concat(F.lit("doc-"), "doc_id", F.lit(".txt")))
+    name = F.coalesce(named, F.concat(F.lit("without-id-"), F.hex(common.text_key()), F.lit(".txt")))
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.expr("doc_id div 1000"), F.expr("doc_id div 100 % 10"), name)
     return docs.select("doc_id", path.alias("path"), "text")
 
 
+def document_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_files(common.table(spark, sf_dir, "documents"))
+
+
+def licensed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``path`` and what the scan finds for the path, a row per row of ``docs``.
+
+    Rows of one source and id are one file, and rows of one source and text without id.
+    """
+    files = as_files(docs)
+    found = files.select("doc_id", "path").join(licenses.scanned(files), "path")
+    return found.select("doc_id", "path", "license", F.round("cosine", 6).alias("cosine"), "origin", "named_by")
+
+
 def license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.scanned(document_files(spark, sf_dir))
-    return found.select(F.regexp_extract("path", r"(\d+)(\.txt)?$", 1).cast("long").alias("doc_id"), "path", "license", F.round("cosine", 6).alias("cosine"), "origin", "named_by")
+    return licensed(common.table(spark, sf_dir, "documents"))
 
 
 def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

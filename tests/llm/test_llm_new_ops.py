@@ -205,3 +205,19 @@ def test_audit_of_odd_rows(spark, monkeypatch):
 def test_popcounts(n):
     words = np.random.default_rng(n).integers(0, 1 << 32, n, dtype=np.uint32)
     assert audit.survivors(words).tolist() == [int(np.count_nonzero(words >> np.uint32(b) & 1)) for b in range(32)]
+
+
+# --- 9: ids of the licence query ---------------------------------------------------------------
+
+
+def test_license_query_keeps_every_row_and_id(spark):
+    mit, plain = "Released under the MIT License.", "nothing to see"
+    rows = [(None, mit, "web"), (None, plain, "web"), (None, plain, "web2"), (None, None, "src0"), (None, plain, "src1"), (-7, mit, "src0"), (7, plain, "src0")]
+    rows += [(0, mit, "web2"), (20, plain, "web2"), (20, plain, "web2"), (20, plain, "web2"), (3, plain, None), (3, plain, "")]
+    docs = spark.createDataFrame([(*r, "p", 1) for r in rows], "doc_id long, text string, source string, path string, license int")
+    got = [(r.doc_id, r.license, r.origin) for r in queries.licensed(docs).collect()]
+    want = [(None, "MIT", "own"), (None, None, "none"), (None, None, "none"), (None, None, "none"), (None, None, "none"), (-7, "MIT", "own"), (7, "MIT", "inherited")]
+    # Documents 0 and -7 are licence files with a licence; those of their directories inherit from them.
+    want += [(0, "MIT", "own"), *[(20, "MIT", "inherited")] * 3, (3, None, "none"), (3, None, "none")]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert queries.licensed(docs.limit(0)).count() == 0
