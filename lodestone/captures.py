@@ -8,6 +8,7 @@ first-copy rule has work to do on the page and across pages.
 
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,12 +165,17 @@ def stream_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_of(spark: SparkSession, sf_dir: str, kind: str) -> dict[str, DataFrame]:
-    """Captures of all sources of a dataset, in their bronze tables."""
-    bronze: dict[str, DataFrame] = {}
-    for spec in specs(kind):
-        pages = capture(spark, sf_dir, spec.registry, kind)
-        bronze[spec.bronze] = bronze[spec.bronze].unionByName(pages) if spec.bronze in bronze else pages
-    return bronze
+    """Captures of all sources of a dataset, in bronze tables laid out by kind and source."""
+    work = Workspace(spark, f"bronze-{kind}")
+    shapes, jobs = {}, []
+    with ThreadPoolExecutor(refresh.SOURCES_AT_ONCE) as pool:
+        for spec in specs(kind):
+            pages = capture(spark, sf_dir, spec.registry, kind)
+            shapes[spec.bronze] = pages.schema
+            jobs.append(pool.submit(readers.store_captures, pages, f"{work.path}/{spec.bronze}", kind, spec.source))
+        for job in jobs:
+            job.result()
+    return {form: readers.stored_captures(spark, f"{work.path}/{form}", shape) for form, shape in shapes.items()}
 
 
 def refresh_plots(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,6 +111,15 @@ def cache_scan(spark: SparkSession, path: str) -> DataFrame:
     return last.select("code", "entry.*")
 
 
+def store_captures(pages: DataFrame, path: str, kind: str, source: str) -> None:
+    """Add captures of one source to a bronze table laid out by kind and source, so that a job of one source reads its own."""
+    pages.drop("kind", "source").write.mode("append").parquet(f"{path}/kind={kind}/source={source}")
+
+
+def stored_captures(spark: SparkSession, path: str, shape: T.StructType) -> DataFrame:
+    return spark.read.schema(shape).parquet(path)
+
+
 def _each(df: DataFrame, array: Column, name: str, drop: tuple[str, ...]) -> DataFrame:
     """One row per element. The outer form keeps Spark from inferring a filter that
     would evaluate the array, a whole parse or split, a second and third time."""

@@ -4,10 +4,11 @@ import re
 
 from pyspark.sql import functions as F
 
-from lodestone import catalog
+from lodestone import captures, catalog
 from lodestone.operators import dedup
 from lodestone.session import Workspace
-from lodestone.sources import proxies
+from lodestone.sources import extract, proxies
+from lodestone.sources.specs import specs
 
 
 def plan(df):
@@ -54,3 +55,11 @@ def test_source_filter_is_pushed_down(spark, sf):
     assert "In(o_orderpriority, [1-URGENT,5-LOW])" in text
     scan = next(line for line in text.splitlines() if "o_orderpriority" in line and "ReadSchema" in line)
     assert "o_totalprice" not in scan and "o_orderdate" not in scan
+
+
+def test_a_source_reads_its_own_captures(spark, sf):
+    bronze = captures.bronze_of(spark, sf, "plot")
+    for spec in specs("plot"):
+        for df in (extract.cards(spec, bronze[spec.bronze]), extract.pages_of(spec, bronze[spec.bronze])):
+            filters = plan(df).split("PartitionFilters:")[1].split("PushedFilters")[0]
+            assert f"= {spec.source})" in filters and "(kind#" in filters
