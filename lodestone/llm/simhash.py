@@ -12,6 +12,12 @@ in the same way and compares the small rests bit by bit, exactly.
 
 A shard returns a spanning forest of its links, never the pairs of a group, and
 connected components are found on these edges.
+
+``near_copies`` uses the same tree to find texts whose 5-word shingles are 0.8 alike. Such
+texts differ in up to 13 bits of a fingerprint of their shingles, too far for a tree, but in
+about 4 bits of one of their distinct words. Each text has several such fingerprints, of
+independent hashes; a pair within ``RADIUS`` in one of them is a candidate, and the Jaccard
+similarity of the shingles decides.
 """
 
 from __future__ import annotations
@@ -30,6 +36,10 @@ from lodestone.session import Workspace
 RADIUS = 3
 SHINGLE = 3
 SEED = 42
+# Fingerprints of a text's distinct words, the shingles that decide, and how alike they have to be.
+VIEWS = 6
+COPY_SHINGLE = 5
+COPY_LEAST = 0.8
 # The tree's upper levels are built from this many distinct fingerprints at most; every fingerprint is routed.
 TREE_SAMPLE = 20_000
 # Home points that a shard should have, and at which a task stops splitting.
@@ -39,7 +49,7 @@ BLOCK_POINTS = 4_096
 STRIPE = 256
 
 
-def fingerprint(text: str | None) -> int:
+def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     """The unsigned 64-bit fingerprint of one whole text; null and no words give 0."""
     words = (text or "").encode().lower().split()  # of bytes: A-Z only, and the blanks x20 x09-x0D
     if not words:
@@ -47,7 +57,7 @@ def fingerprint(text: str | None) -> int:
     joined = b" ".join(words)
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
-    n = max(1, len(words) - SHINGLE + 1)
+    n = max(1, len(words) - shingle + 1)
     spans = zip(starts[:n].tolist(), ends[len(words) - n :].tolist(), strict=True)
     hashes = np.fromiter((xxhash.xxh64_intdigest(joined[a:b], SEED) for a, b in spans), dtype="<u8", count=n)
     ones = np.zeros(64, dtype=np.int64)
@@ -56,13 +66,13 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, text: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, text: str = "text", shingle: int = SHINGLE) -> DataFrame:
     """``doc_id``, ``_text_key`` and the fingerprint as a signed long, one row per document."""
     rows = docs.select("doc_id", common.text_key(text).alias("_text_key"), F.col(text).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            points = np.array([fingerprint(t.as_py()) for t in batch.column("_text")], dtype=np.uint64)
+            points = np.array([fingerprint(t.as_py(), shingle) for t in batch.column("_text")], dtype=np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_text_key"), pa.array(points.view(np.int64))], ["doc_id", "_text_key", "fp"])
 
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -96,7 +106,7 @@ def grown(sample: np.ndarray, depth: int) -> dict[int, tuple[np.uint64, int]]:
     return tree
 
 
-def routed(points: np.ndarray, tree: dict, node: int = 1, visits: bool = False) -> Iterator[tuple[int, bool, np.ndarray]]:
+def routed(points: np.ndarray, tree: dict, node: int = 1, visits: bool = False, reach: int = RADIUS) -> Iterator[tuple[int, bool, np.ndarray]]:
     """(shard, whether they visit it, points) for every shard that one of the points has to be in."""
     if not len(points):
         return
@@ -106,34 +116,34 @@ def routed(points: np.ndarray, tree: dict, node: int = 1, visits: bool = False)
     at, radius = tree[node]
     far = np.bitwise_count(points ^ at).astype(np.int64)
     if visits:
-        yield from routed(points[far <= radius + RADIUS], tree, 2 * node, True)
-        yield from routed(points[far > radius - RADIUS], tree, 2 * node + 1, True)
+        yield from routed(points[far <= radius + reach], tree, 2 * node, True, reach)
+        yield from routed(points[far > radius - reach], tree, 2 * node + 1, True, reach)
     else:
         inside = far <= radius
-        yield from routed(points[inside], tree, 2 * node)
-        yield from routed(points[~inside], tree, 2 * node + 1)
-        yield from routed(points[~inside & (far <= radius + RADIUS)], tree, 2 * node, True)
+        yield from routed(points[inside], tree, 2 * node, False, reach)
+        yield from routed(points[~inside], tree, 2 * node + 1, False, reach)
+        yield from routed(points[~inside & (far <= radius + reach)], tree, 2 * node, True, reach)
 
 
-def compared(homes: np.ndarray, visitors: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def compared(homes: np.ndarray, visitors: np.ndarray, reach: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked pairs, in parts: of home points with each other, and with visitors."""
     split = vantage(homes) if len(homes) > BLOCK_POINTS else None
     if split:
         tree = {1: split}
         at = {2: [], 3: []}
         calls = {2: [], 3: []}
-        for node, visits, points in [*routed(homes, tree), *routed(visitors, tree, visits=True)]:
+        for node, visits, points in [*routed(homes, tree, reach=reach), *routed(visitors, tree, visits=True, reach=reach)]:
             (calls if visits else at)[node].append(points)
         none = homes[:0]
         for node in (2, 3):
-            yield from compared(np.concatenate([none, *at[node]]), np.concatenate([none, *calls[node]]))
+            yield from compared(np.concatenate([none, *at[node]]), np.concatenate([none, *calls[node]]), reach)
         return
     for i in range(0, len(homes), STRIPE):
         rows = homes[i : i + STRIPE]
         for others, own in ((homes[i:], True), (visitors, False)):
             for j in range(0, len(others), 1 << 14):
                 part = others[j : j + (1 << 14)]
-                r, c = np.nonzero(np.bitwise_count(rows[:, None] ^ part[None, :]) <= RADIUS)
+                r, c = np.nonzero(np.bitwise_count(rows[:, None] ^ part[None, :]) <= reach)
                 keep = r < c + j if own else slice(None)
                 if len(r[keep]):
                     yield rows[r[keep]], part[c[keep]]
@@ -156,36 +166,63 @@ def forest(points: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -
     return order[moved], order[label[moved]]
 
 
-def links(ws: Workspace, points: DataFrame) -> DataFrame:
-    """Edges a, b (signed longs) that join the distinct fingerprints ``fp`` as all their links do."""
-    count = points.count()
+def partners(points: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Of each point its smallest and its nearest linked point: two links at most, however many it has."""
+    order = np.unique(points)
+    low = np.arange(len(order))
+    near = np.full(len(order), 127 << 48)
+    for a, b in pairs:
+        far = np.bitwise_count(a ^ b).astype(np.int64) << 48
+        a, b = np.searchsorted(order, a), np.searchsorted(order, b)
+        for x, y in ((a, b), (b, a)):
+            np.minimum.at(low, x, y)
+            np.minimum.at(near, x, far | y)
+    near = np.where(near < 127 << 48, near & ((1 << 48) - 1), low)
+    at = np.concatenate((np.flatnonzero(low < np.arange(len(order))), np.flatnonzero(near != low)))
+    to = np.concatenate((low[low < np.arange(len(order))], near[near != low]))
+    return order[at], order[to]
+
+
+def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -> DataFrame:
+    """Edges a, b (signed longs) of the distinct fingerprints ``fp``, within each ``view`` if there is that column.
+
+    ``found`` picks them from a shard's links: a forest that joins all that the links join, or else `partners`.
+    """
+    views = "view" in points.columns
+    points = points.select(F.col("view") if views else F.lit(0).alias("view"), "fp")
+    # All views are as large, and as random: one tree, of the first one's points, serves them all.
+    one = points.where("view = 0")
+    count = one.count()
     depth = max(0, int(np.ceil(np.log2(max(count, 1) / SHARD_POINTS))))
-    sample = [r.fp for r in points.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
+    sample = [r.fp for r in one.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
     tree = grown(np.array(sample, dtype=np.int64).view(np.uint64), depth)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = list(routed(batch.column("fp").to_numpy().view(np.uint64), tree))
-            packs = [pa.array([p[i] for p in parts], t) for i, t in ((0, pa.int32()), (1, pa.bool_()))]
-            packs.append(pa.array([p[2].astype("<u8").tobytes() for p in parts], pa.binary()))
-            yield pa.RecordBatch.from_arrays(packs, ["shard", "visits", "points"])
+            of = batch.column("view").to_numpy()
+            all_points = batch.column("fp").to_numpy().view(np.uint64)
+            parts = [(v, *p) for v in np.unique(of).tolist() for p in routed(all_points[of == v], tree, reach=reach)]
+            packs = [pa.array([p[i] for p in parts], t) for i, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.bool_()))]
+            packs.append(pa.array([p[3].astype("<u8").tobytes() for p in parts], pa.binary()))
+            yield pa.RecordBatch.from_arrays(packs, ["view", "shard", "visits", "points"])
 
     def join(key, parts: pa.Table) -> pa.Table:
         sides = {False: [np.empty(0, "<u8")], True: [np.empty(0, "<u8")]}
         for visits, points in zip(parts.column("visits").to_pylist(), parts.column("points").to_pylist(), strict=True):
             sides[visits].append(np.frombuffer(points, "<u8"))
         homes, visitors = np.sort(np.concatenate(sides[False])), np.sort(np.concatenate(sides[True]))
-        a, b = forest(np.concatenate((homes, visitors)), compared(homes, visitors))
-        return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
+        a, b = found(np.concatenate((homes, visitors)), compared(homes, visitors, reach))
+        return pa.table({"view": pa.array([key[0].as_py()] * len(a), pa.int32()), "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    shards = points.select("fp").mapInArrow(route, "shard int, visits boolean, points binary")
-    return shards.groupBy("shard").applyInArrow(lambda k, t: join(k, t), "a long, b long")
+    shards = points.mapInArrow(route, "view int, shard int, visits boolean, points binary")
+    edges = shards.groupBy("view", "shard").applyInArrow(lambda k, t: join(k, t), "view int, a long, b long")
+    return edges if views else edges.drop("view")
 
 
-def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
+def near_duplicates(docs: DataFrame, text: str = "text", shingle: int = SHINGLE, reach: int = RADIUS) -> DataFrame:
     """``doc_id``, ``_text_key``, ``fp`` (signed long) and ``component_id`` for each row of ``docs``.
 
-    Rows link at ``RADIUS`` or fewer differing bits; component_id is the smallest
+    Rows link at ``reach`` or fewer differing bits; component_id is the smallest
     doc_id reachable. Null texts count as empty and have, like texts without words, the
     fingerprint zero, which links like any other. Rows that repeat a doc_id keep a row
     each. A null doc_id is never the smallest; a group of null ids only has a null
@@ -193,9 +230,9 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     read.
     """
     ws = Workspace(docs.sparkSession, "simhash")
-    rows = ws.table("fingerprints", fingerprints(docs, text))
+    rows = ws.table("fingerprints", fingerprints(docs, text, shingle))
     points = ws.table("points", rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    edges = ws.table("edges", links(ws, points))
+    edges = ws.table("edges", links(ws, points, reach))
     groups = common.components(ws, edges)
     named = points.join(groups.withColumnRenamed("id", "fp"), "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
@@ -203,17 +240,117 @@ def near_duplicates(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.join(of_point, "fp")
 
 
+# --- copies that are 0.8 alike -----------------------------------------------------------
+
+
+def word_prints(text: str | None, views: int = VIEWS) -> list[int]:
+    """Signed fingerprints of the distinct words of a whole text, each of other hashes; zeros if it has none."""
+    words = set((text or "").encode().lower().split())
+    if not words:
+        return [0] * views
+    ones = np.zeros(64 * (views + views % 2), dtype=np.int64)
+    words = list(words)
+    for i in range(0, len(words), 1 << 14):
+        part = words[i : i + (1 << 14)]
+        hashes = [b"".join([xxhash.xxh3_128_digest(w, seed) for w in part]) for seed in range((views + 1) // 2)]
+        for seed, held in enumerate(hashes):
+            bits = np.unpackbits(np.frombuffer(held, np.uint8).reshape(-1, 16), axis=1)
+            ones[128 * seed : 128 * seed + 128] += bits.sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(words)).view("<i8")[:views].tolist()
+
+
+def shingles(text: str | None, size: int = COPY_SHINGLE) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of a whole text; shorter texts are one shingle, texts without words none."""
+    words = (text or "").encode().lower().split()
+    if not words:
+        return np.empty(0, "<u8")
+    spans = {b" ".join(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
+    return np.unique(np.fromiter(map(xxhash.xxh3_64_intdigest, spans), dtype="<u8", count=len(spans)))
+
+
+def alike(a: np.ndarray, b: np.ndarray) -> float:
+    """Jaccard similarity; two empty sets are the same."""
+    common_ = len(np.intersect1d(a, b, assume_unique=True))
+    return common_ / (len(a) + len(b) - common_) if len(a) + len(b) else 1.0
+
+
+def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach: int = RADIUS, shingle: int = COPY_SHINGLE, least: float = COPY_LEAST) -> DataFrame:
+    """``doc_id``, ``_text_key``, ``component_id`` and ``_group`` for each row of ``docs``.
+
+    Rows link if their texts' sets of ``shingle`` words have a Jaccard similarity of ``least`` or
+    more and one of the ``views`` fingerprints of their distinct words brings them together: a text
+    is compared with the smallest text of its fingerprint, and that one with the smallest and
+    the nearest fingerprint within ``reach`` bits. Every link is exact; a pair that no view
+    brings together is missed (measured in the README). Texts without words are alike. Odd
+    rows as in `near_duplicates`; ``_group`` names the group where no row has an id.
+    """
+    ws = Workspace(docs.sparkSession, "near-copies")
+    rows = docs.select("doc_id", common.text_key(text).alias("_text_key"), F.col(text).alias("_text"))
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = pa.array([word_prints(t.as_py(), views) for t in batch.column("_text")], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_text_key"), found], ["doc_id", "_text_key", "fps"])
+
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    rows_of = ws.table("rows", rows.mapInArrow(prints, f"doc_id {kind}, _text_key long, fps array<long>"))
+    # Copies are one text from here on.
+    texts = ws.table("texts", rows_of.groupBy("_text_key").agg(F.min("doc_id").alias("least"), F.any_value("fps").alias("fps")))
+    seen = ws.table("seen", texts.select(F.col("_text_key").alias("key"), F.posexplode("fps").alias("view", "fp")))
+    points = ws.table("points", seen.groupBy("view", "fp").agg(F.min("key").alias("first"), F.count("*").alias("n")))
+    near = ws.table("near", links(ws, points, reach, partners))
+    ends = points.select("view", "fp", "first")
+    between = near.join(ends.select("view", F.col("fp").alias("a"), F.col("first").alias("x")), ["view", "a"])
+    between = between.join(ends.select("view", F.col("fp").alias("b"), F.col("first").alias("y")), ["view", "b"]).select("x", "y")
+    shared = seen.join(points.where("n > 1"), ["view", "fp"]).select(F.col("key").alias("x"), F.col("first").alias("y"))
+    pairs = between.unionByName(shared).where("x <> y").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    pairs = ws.table("pairs", pairs)
+
+    # Only texts of a pair have their shingles made, and only once.
+    wanted = pairs.select(F.col("x").alias("_text_key")).union(pairs.select("y")).distinct()
+    source = rows.join(wanted, "_text_key", "left_semi").dropDuplicates(["_text_key"]).select("_text_key", "_text")
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = pa.array([shingles(t.as_py(), shingle).tobytes() for t in batch.column("_text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column("_text_key"), sets], ["key", "set"])
+
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [batch.column(c) for c in ("a", "b")]
+            keep = [alike(*[np.frombuffer(s[i].as_py(), "<u8") for s in sets]) >= least for i in range(batch.num_rows)]
+            yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
+
+    sets = ws.table("sets", source.mapInArrow(hashed, "key long, set binary"))
+    both = pairs.join(sets.select(F.col("key").alias("x"), F.col("set").alias("a")), "x").join(sets.select(F.col("key").alias("y"), F.col("set").alias("b")), "y")
+    edges = both.select("x", "y", "a", "b").mapInArrow(checked, "x long, y long")
+    groups = common.components(ws, ws.table("edges", edges.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    named = texts.select(F.col("_text_key").alias("id"), "least").join(groups, "id", "left").withColumn("_group", F.coalesce("component", "id"))
+    smallest = named.groupBy("_group").agg(F.min("least").alias("component_id"))
+    of_text = ws.table("components", named.join(smallest, "_group").select(F.col("id").alias("_text_key"), "component_id", "_group"))
+    return rows_of.select("doc_id", "_text_key").join(of_text, "_text_key").select("doc_id", "_text_key", "component_id", "_group")
+
+
+def without_copies(docs: DataFrame, text: str = "text", **rule) -> DataFrame:
+    """The rows of ``docs`` without near copies (`near_copies` with that rule): of each group the one with the smallest doc_id."""
+    return _smallest(docs, text, near_copies(docs, text, **rule))
+
+
 def deduplicated(docs: DataFrame, text: str = "text") -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each group the one with the smallest doc_id.
 
     Of rows that share that doc_id one stays. Rows without doc_id stay only in groups
     that have no other. All columns of ``docs`` are kept as they are.
     """
+    return _smallest(docs, text, near_duplicates(docs, text).withColumn("_group", F.col("fp")))
+
+
+def _smallest(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
+    """Of each group of ``found`` the row with the smallest doc_id, of those one."""
     ws = Workspace(docs.sparkSession, "simhash-keep")
-    found = near_duplicates(docs, text)
     order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id").alias("id"), F.col("_text_key").alias("key"))
-    # A group without any id is named by its fingerprint's group only; its component_id is null, so group by both.
-    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("fp")).alias("_of")).agg(F.min(order).alias("best"))
+    # A group without any id has a null component_id and is known by its other name, so group by both.
+    best = found.groupBy("component_id", F.when(F.col("component_id").isNull(), F.col("_group")).alias("_of")).agg(F.min(order).alias("best"))
     kept = ws.table("kept", best.select(F.col("best.id").alias("_id"), F.col("best.key").alias("_key")))
     rows = common.packed(docs, _doc=F.col("doc_id"), _text=common.text_key(text))
     out = rows.join(kept, rows["_doc"].eqNullSafe(kept["_id"]) & (rows["_text"] == kept["_key"]), "left_semi")

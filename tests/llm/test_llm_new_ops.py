@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 import sentencepiece
 
-from lodestone.llm import audit, common, pieces, queries, resampling
+from lodestone.llm import audit, common, pieces, queries, resampling, simhash
 
 SPACE = r"[^\x20\x09-\x0D]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -221,3 +221,71 @@ def test_license_query_keeps_every_row_and_id(spark):
     want += [(0, "MIT", "own"), *[(20, "MIT", "inherited")] * 3, (3, None, "none"), (3, None, "none")]
     assert sorted(got, key=str) == sorted(want, key=str)
     assert queries.licensed(docs.limit(0)).count() == 0
+
+
+# --- 10: copies that are 0.8 alike -------------------------------------------------------------
+
+
+def plain_shingles(text):
+    words = re.findall(SPACE, lowered(text))
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def near_pairs(rows, least=0.8):
+    """All pairs of ids whose 5-word shingles have a Jaccard similarity of at least ``least``."""
+    sets = [(i, plain_shingles(t)) for i, t in rows]
+    out = []
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[k + 1 :]:
+            low, high = sorted((len(a), len(b)))
+            if low >= least * high and (high == 0 or len(a & b) >= least * len(a | b)):
+                out.append((i, j))
+    return out
+
+
+def edited(rng, words, n):
+    words = list(words)
+    for _ in range(n):
+        words[rng.randrange(len(words))] = f"new{rng.randrange(10**6)}"
+    return words
+
+
+def test_copies_are_found_and_others_left(spark):
+    rng = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(3_000)]
+    rows = []
+    for group in range(60):
+        base = rng.choices(vocabulary, k=rng.randint(100, 400))
+        rows += [" ".join(edited(rng, base, max(1, len(base) // 130))) for _ in range(4)]
+        rows.append(" ".join(rng.sample(base, len(base))))  # the same words in another order
+    rows = list(enumerate(rows))
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    pairs = near_pairs(rows)
+    joined = sum(got[a] == got[b] for a, b in pairs)
+    assert len(pairs) > 150 and joined >= 0.9 * len(pairs)
+    # No group holds what the links don't join.
+    from .test_llm_ops import groups_of
+
+    whole = groups_of([i for i, _ in rows], pairs)
+    assert all(whole[i] == whole[c] for i, c in got.items())
+
+
+def test_partners_are_links():
+    rng = np.random.default_rng(4)
+    points = np.unique(np.concatenate([rng.integers(0, 1 << 63, 20, dtype=np.uint64)] * 30) ^ (np.uint64(1) << rng.integers(0, 63, 600, dtype=np.uint64)))
+    a, b = simhash.partners(points, simhash.compared(points, points[:0]))
+    assert (np.bitwise_count(a ^ b) <= 3).all() and len(a) <= 2 * len(points)
+    linked = {int(p) for p in points if (np.bitwise_count(points ^ p) <= 3).sum() > 1}
+    assert {int(x) for x in np.concatenate((a, b))} == linked
+
+
+def test_copies_of_odd_rows(spark):
+    long = "x y z " * 50_000
+    rows = [(3, None), (1, ""), (2, " \n"), (5, "a b c d e f g"), (5, "a b c d e f g"), (4, "A B  C D E F G"), (None, "a b c d e f g"), (None, "q r s t u"), (None, "q r s t u"), (7, long), (8, "x y"), (9, long + "x"), (10, "a b c d e f h")]
+    frame = spark.createDataFrame([(*r, "f", 0) for r in rows], "doc_id long, text string, fps string, component_id int")
+    got = sorted(((r.doc_id, r.component_id) for r in simhash.near_copies(frame).collect()), key=str)
+    want = [(3, 1), (1, 1), (2, 1), (5, 4), (5, 4), (4, 4), (None, 4), (None, None), (None, None), (7, 7), (9, 7), (8, 8), (10, 10)]
+    assert got == sorted(want, key=str)
+    kept = simhash.without_copies(frame)
+    assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "10", "4", "7", "8", "None"]
+    assert simhash.near_copies(frame.limit(0)).count() == 0 and simhash.without_copies(frame.limit(0)).count() == 0

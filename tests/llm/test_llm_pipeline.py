@@ -9,7 +9,8 @@ import tiktoken
 import corpus_pipeline
 from lodestone.llm import common, langid, mixing, queries
 
-from .test_llm_ops import brute_lines, brute_simhash, plain_fingerprint
+from .test_llm_new_ops import near_pairs
+from .test_llm_ops import brute_lines, groups_of
 
 ODD = [(1, None, "en", "s", 0), (2, "", None, None, 0), (3, "the of and then with that this", "en", "s", 5), (3, "the of and then with that this", "en", "s", 5), (4, "der und nicht " * 50_000, "de", None, 1), (None, "le de la et les des", "fr", "t", 2)]
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -19,9 +20,8 @@ def test_run_is_the_plain_pipeline(spark, sf):
     docs = common.table(spark, sf, "documents")
     model = langid.trained(docs.where(~queries.held_out()))
     rows = [r for r in docs.collect() if (p := model.predict(r.text))[0] != "und" and p[1] >= model.level]
-    points = [(r.doc_id, plain_fingerprint(r.text)) for r in rows]
-    of = brute_simhash(points)
-    rows = [r for r, (i, p) in zip(rows, points, strict=True) if of[p] == i]
+    of = groups_of([r.doc_id for r in rows], near_pairs([(r.doc_id, r.text) for r in rows]))
+    rows = [r for r in rows if of[r.doc_id] == r.doc_id]
     clean = brute_lines([(r.doc_id, r.text) for r in rows])
     rows = [(r.doc_id, clean[r.doc_id], r.lang, r.source, len(clean[r.doc_id])) for r in rows if clean[r.doc_id].strip()]
     mix = mixing.mixed(spark.createDataFrame(rows, SCHEMA)).collect()
