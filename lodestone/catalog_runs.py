@@ -2,13 +2,14 @@
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import captures, catalog
 from .operators import enrich
-from .plans import changes, cluster, query, refresh, search, summaries
+from .plans import changes, cluster, query, refresh, search, stats, summaries
 from .session import Workspace
 from .sources import extract, proxies, readers
 from .sources.specs import specs
@@ -152,9 +153,47 @@ def capture_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2]).groupBy("source", "kind", "of").agg(F.count("*").alias("n"))
 
 
+def source_predicate(spark: SparkSession, sf: str) -> DataFrame:
+    """a source's own predicate, an expression in its specification, over its first copies."""
+    spec = replace(specs("house", "Bazaraki")[0], keep="price >= 100000 AND beds > 2")
+    cards = extract.cards(spec, captures.capture(spark, sf, spec.registry, "house"))
+    return captures.shown(extract.listings_of(cards))
+
+
+def partial_walk(spark: SparkSession, sf: str) -> DataFrame:
+    """A walk that stopped half way gives what was captured, and the run goes on with it."""
+    last = proxies.table(spark, sf, "orders").agg(F.floor(F.max("o_orderkey") / 20) * 10 + 5).first()[0]
+    pages = captures.capture(spark, sf, "Bazaraki", "plot").where(col("page_no") <= last + 1)
+    listings, _ = refresh.extract_sources(spark, "plot", {"json": pages})
+    return captures.shown(listings)
+
+
+def refresh_all_failed(spark: SparkSession, sf: str) -> DataFrame:
+    """R2: a refresh where every source fails publishes nothing; the snapshot stays as it was."""
+    path = f"{Workspace(spark, 'all-failed').path}/snapshot"
+    refresh.publish(proxies.houses(spark, sf), path, 1)
+    pages = [captures.capture(spark, sf, name, "plot").withColumn("page_no", F.lit(-1).cast("bigint")) for name in ("Kadis Estates", "Cyprus Properties")]
+    try:  # the sources of the other forms have no captures
+        out = refresh.refresh(spark, "plot", {"html": pages[0].unionByName(pages[1])})
+        refresh.publish(out.listings, path, 2)
+        stopped = False
+    except refresh.AllSourcesFailed:
+        stopped = True
+    return refresh.latest(spark, path).groupBy("source").agg(F.count("*").alias("n")).withColumn("stopped", F.lit(stopped))
+
+
+def facet_places(spark: SparkSession, sf: str) -> DataFrame:
+    """A2, A3: each facet value with its place: sources as first seen, districts and plot types by code point."""
+    rows = proxies.plots(spark, sf)
+    parts = [query.positions(stats.facet_sources(rows)).select(col("source").alias("value"), "position", F.lit("source").alias("facet"))]
+    for name in ("district", "plotType"):
+        parts.append(query.positions(stats.facet_values(rows, name)).select("value", "position", F.lit(name).alias("facet")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         snapshot_changes, publish_gate, cache_scan, enrich_stored, search_indexed, filter_clustered, stats_from_summaries,
-        facets_from_summaries, refresh_health, capture_quarantine,
+        facets_from_summaries, refresh_health, capture_quarantine, source_predicate, partial_walk, refresh_all_failed, facet_places,
     )
     return {fn.__name__: fn for fn in found}

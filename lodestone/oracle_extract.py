@@ -305,6 +305,9 @@ def sql() -> dict[str, str]:
 UNION ALL SELECT 'Giovani Homes', {", ".join(["NULL"] * 7)}, true"""
     named["stream_runs"] = refreshed("plot", plots) + """ SELECT * EXCLUDE (walk_source, walk_part, walk_seq, seq)
   FROM ready WHERE seq IN (SELECT seq FROM decided WHERE decision = 'kept')"""
+    named["partial_walk"] = f"""SELECT * EXCLUDE (walk_part, walk_seq) FROM ({out[("Bazaraki", "plot")]})
+  WHERE walk_seq <= (SELECT floor(max(o_orderkey) / 20) * 10 + 5 FROM orders)"""
+    named["source_predicate"] = f"SELECT * FROM ({named[captures.query_name('Bazaraki', 'house')]}) WHERE price >= 100000 AND beds > 2"
     # One source with unique links: publishing keeps every extracted listing.
     named["stream_refresh"] = named[captures.query_name("Bazaraki", "plot")]
     named["snapshot_publish"] = houses("SELECT * FROM houses")

@@ -1,7 +1,7 @@
 """The queries of `catalog_runs.py` in SQL."""
 
 from . import oracle
-from .oracle import HOUSES, PART_CACHE
+from .oracle import HOUSES, PART_CACHE, PLOTS
 from .plans.changes import FIELDS
 from .schema import LISTING
 
@@ -48,6 +48,10 @@ WHERE district = 'ASIA' AND (price IS NULL OR price BETWEEN 100000 AND 200000) A
         "stats_from_summaries": f"SELECT *, (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0) AS listings FROM ({bar})",
         "facets_from_summaries": """SELECT o_orderpriority AS source, count(*) AS n, min(o_orderkey) AS first_seq,
   row_number() OVER (ORDER BY min(o_orderkey)) AS position FROM orders GROUP BY 1""",
+        "refresh_all_failed": "SELECT o_orderpriority AS source, count(*) AS n, true AS stopped FROM orders GROUP BY 1",
+        "facet_places": f"""WITH {PLOTS} SELECT source AS value, row_number() OVER (ORDER BY min(seq)) AS position, 'source' AS facet FROM plots GROUP BY source
+UNION ALL SELECT district, row_number() OVER (ORDER BY district), 'district' FROM (SELECT DISTINCT district FROM plots WHERE district <> '')
+UNION ALL SELECT "plotType", row_number() OVER (ORDER BY "plotType"), 'plotType' FROM (SELECT DISTINCT "plotType" FROM plots WHERE "plotType" <> '')""",
         "refresh_health": f"""SELECT registry, place::INT AS source_order,
   CASE WHEN registry = 'Bazaraki' THEN (SELECT count(*) FROM ({_bazaraki_plots()})) ELSE 0 END AS n,
   registry IN ('Bazaraki', 'Cyprus Properties', 'EstateBud-WP agencies') AS succeeded
