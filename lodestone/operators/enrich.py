@@ -225,25 +225,49 @@ def lookup_names(
     return df.join(named, row_key, "left")
 
 
+# A taxonomy of at most this many terms stands in the plan as one constant map.
+TERMS_IN_PLAN = 5_000
+TERM_FIELDS = ("property_status", "property_city", "property_category", "property_action_category")
+_CARD = ["partition", "page_no", "captured_at", "pos"]
+
+
 def term_names(
     df: DataFrame, source: str, terms: DataFrame | None
 ) -> tuple[DataFrame, Callable[[Column], Column]]:
-    """A function from a column of ids to a column of names, through the taxonomy as one constant map.
+    """The items, and a function from a column of their term ids to a column of names.
 
-    A taxonomy is the term list of one site, so it grows with its categories, not with its
-    listings. Of a term id with several names the first by code point counts. A source
-    that needs names and has no taxonomy fails, as its listings would be incomplete.
+    A short taxonomy becomes a constant map; of a longer one each item is given the names of its own
+    ids by a join (`_names`), so no taxonomy has to fit anywhere as a whole. Of a term id with
+    several names the first by code point counts. A source that needs names and has no
+    taxonomy fails, as its listings would be incomplete.
     """
-    own = [] if terms is None or "item" not in df.columns else (
-        terms.where((F.col("source") == source) & F.col("term_id").isNotNull() & F.col("name").isNotNull())
-        .groupBy("term_id").agg(F.min("name").alias("name")).collect()
-    )
+    own, found = [], None
+    if terms is not None and "item" in df.columns:
+        usable = (F.col("source") == source) & F.col("term_id").isNotNull() & F.col("name").isNotNull()
+        found = terms.where(usable).groupBy("term_id").agg(F.min("name").alias("name"))
+        own = found.limit(TERMS_IN_PLAN + 1).collect()
+    joined = len(own) > TERMS_IN_PLAN
+    if joined:
+        df = _with_names(df, found)
 
     def names(ids: Column) -> Column:
         if not own:
             raise LookupError(f"no taxonomy for {source}")
-        table = json.dumps({str(r["term_id"]): r["name"] for r in own})
-        known = F.from_json(F.lit(table), "map<string,string>")
+        if joined:
+            known = F.col("_names")
+        else:
+            known = F.from_json(F.lit(json.dumps({str(r["term_id"]): r["name"] for r in own})), "map<string,string>")
         return F.transform(ids, lambda i: F.try_element_at(known, i.cast("string")))
 
     return df, names
+
+
+def _with_names(df: DataFrame, terms: DataFrame) -> DataFrame:
+    """Adds `_names`, the names of all term ids of an item, as a map; items of the same place share theirs."""
+    ids = F.flatten(F.array(*[F.coalesce(F.col(f"item.{f}"), F.array().cast("array<int>")) for f in TERM_FIELDS]))
+    place = F.xxhash64(*[x for c in _CARD for x in (F.col(c).isNull(), F.col(c))])
+    df = df.withColumn("_place", place)
+    wide = df.select("_place", F.explode(ids).alias("term_id")).distinct().join(terms, "term_id")
+    entry = F.struct(F.col("term_id").cast("string").alias("key"), F.col("name").alias("value"))
+    named = wide.groupBy("_place").agg(F.map_from_entries(F.collect_list(entry)).alias("_names"))
+    return df.join(named, "_place", "left").drop("_place").withColumn("_names", F.coalesce("_names", F.create_map().cast("map<string,string>")))

@@ -208,3 +208,20 @@ def test_health_needs_no_count(spark, sf):
     assert all("Traceback" in e for e in failed.values())
     got = {r["registry"]: (r["n"], r["succeeded"]) for r in refresh.health(spark, "plot", refresh.Refresh(listings_, listings_, failed, counts)).collect()}
     assert got["Bazaraki"] == (counts["Bazaraki"], True) and got["Kadis Estates"] == (0, False) and got["EstateBud-WP agencies"] == (0, True)
+
+
+@pytest.mark.parametrize("registry", ["Pafilia", "Giovani Homes"])
+def test_long_taxonomies_are_joined(spark, sf, monkeypatch, registry):
+    spec, pages = specs("house", registry)[0], captures.capture(spark, sf, registry, "house")
+    known = captures.terms(spark, sf)
+    known = known.unionByName(known.where("term_id < 3").withColumn("name", F.lit("Zzz")))
+
+    def found():
+        return sorted(map(str, extract.listings_of(extract.cards(spec, pages, known)).collect()))
+
+    short = found()
+    monkeypatch.setattr(enrich, "TERMS_IN_PLAN", 3)
+    assert short and found() == short
+    assert "_names" in plan(extract.cards(spec, pages, known))
+    with pytest.raises(LookupError):
+        extract.cards(spec, pages, known.limit(0))
