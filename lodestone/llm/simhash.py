@@ -37,7 +37,7 @@ RADIUS = 3
 SHINGLE = 3
 SEED = 42
 # Fingerprints of a text's distinct words, the shingles that decide, and how alike they have to be.
-VIEWS = 6
+VIEWS = 8
 COPY_SHINGLE = 5
 COPY_LEAST = 0.8
 # The tree's upper levels are built from this many distinct fingerprints at most; every fingerprint is routed.
