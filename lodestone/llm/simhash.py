@@ -8,7 +8,9 @@ from a bounded sample, are the shards. Every point has one home shard; it also v
 shard that a partner at ``RADIUS`` or less may call home, by the triangle bound at each
 vantage point. Of a pair that is parted at some vantage point, only the outer point
 crosses over, so a pair meets in exactly one shard. The shard's task goes on splitting
-in the same way and compares the small rests bit by bit, exactly.
+in the same way and compares the small rests bit by bit, exactly. A shard of more than
+``TASK_POINTS`` points, visitors included, is cut into chunks, and each pair of chunks is
+a task of its own, so no task holds more, however the tree parts the points.
 
 A shard returns a spanning forest of its links, never the pairs of a group, and
 connected components are found on these edges.
@@ -45,6 +47,8 @@ TREE_SAMPLE = 20_000
 # Home points that a shard should have, and at which a task stops splitting.
 SHARD_POINTS = 16_000
 BLOCK_POINTS = 4_096
+# Points, with visitors, that one task holds; a larger shard is cut into chunks that meet in pairs.
+TASK_POINTS = 1 << 20
 # Rows of the distance matrix made at once.
 STRIPE = 256
 
@@ -125,30 +129,43 @@ def routed(points: np.ndarray, tree: dict, node: int = 1, visits: bool = False,
         yield from routed(points[~inside & (far <= radius + reach)], tree, 2 * node, True, reach)
 
 
-def compared(homes: np.ndarray, visitors: np.ndarray, reach: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Linked pairs, in parts: of home points with each other, and with visitors."""
+def compared(homes: np.ndarray, visitors: np.ndarray, reach: int = RADIUS, own: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs, in parts: of home points with each other (if ``own``), and with visitors."""
     split = vantage(homes) if len(homes) > BLOCK_POINTS else None
     if split:
         tree = {1: split}
         at = {2: [], 3: []}
         calls = {2: [], 3: []}
-        for node, visits, points in [*routed(homes, tree, reach=reach), *routed(visitors, tree, visits=True, reach=reach)]:
-            (calls if visits else at)[node].append(points)
+        for node, visits, points in routed(homes, tree, reach=reach):
+            if own or not visits:
+                (calls if visits else at)[node].append(points)
+        for node, _, points in routed(visitors, tree, visits=True, reach=reach):
+            calls[node].append(points)
         none = homes[:0]
         for node in (2, 3):
-            yield from compared(np.concatenate([none, *at[node]]), np.concatenate([none, *calls[node]]), reach)
+            yield from compared(np.concatenate([none, *at[node]]), np.concatenate([none, *calls[node]]), reach, own)
         return
     for i in range(0, len(homes), STRIPE):
         rows = homes[i : i + STRIPE]
-        for others, own in ((homes[i:], True), (visitors, False)):
+        for others, each_once in ((homes[i:], True), (visitors, False))[0 if own else 1 :]:
             for j in range(0, len(others), 1 << 14):
                 part = others[j : j + (1 << 14)]
                 r, c = np.nonzero(np.bitwise_count(rows[:, None] ^ part[None, :]) <= reach)
-                keep = r < c + j if own else slice(None)
+                keep = r < c + j if each_once else slice(None)
                 if len(r[keep]):
                     yield rows[r[keep]], part[c[keep]]
 
 
+def met(sides: dict[tuple[int, bool], np.ndarray], low: int, high: int, reach: int = RADIUS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of two chunks of a shard, or of one with itself; ``sides`` holds points by (chunk, whether they visit)."""
+    homes, visitors = sides[low, False], sides[low, True]
+    if low == high:
+        yield from compared(homes, visitors, reach)
+        return
+    yield from compared(homes, np.concatenate((sides[high, False], sides[high, True])), reach, False)
+    yield from compared(sides[high, False], visitors, reach, False)
+
+
 def forest(points: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
     """Links (point, smallest point of its group) that join what ``pairs`` join; at most one per point."""
     order = np.unique(points)
@@ -206,16 +223,36 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -
             packs.append(pa.array([p[3].astype("<u8").tobytes() for p in parts], pa.binary()))
             yield pa.RecordBatch.from_arrays(packs, ["view", "shard", "visits", "points"])
 
+    shards = points.mapInArrow(route, "view int, shard int, visits boolean, points binary")
+    shards = ws.table("routed", shards)
+    # A row per shard, of which the tree has at most as many as its sample has points.
+    sizes = shards.groupBy("view", "shard").agg(F.sum(F.octet_length("points") / 8).alias("n"))
+    cuts = sizes.select("view", "shard", F.when(F.col("n") <= TASK_POINTS, 1).otherwise(F.ceil(2 * F.col("n") / TASK_POINTS)).cast("int").alias("chunks"))
+    shards = shards.join(F.broadcast(cuts), ["view", "shard"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for view, shard, visits, held, chunks in zip(*(batch.column(c) for c in ("view", "shard", "visits", "points", "chunks")), strict=True):
+                chunks, held = chunks.as_py(), np.frombuffer(held.as_py(), "<u8")
+                chunk = (held * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(chunks) if chunks > 1 else np.zeros(len(held), np.uint64)
+                for own in np.unique(chunk).tolist():
+                    mine = held[chunk == own].tobytes()
+                    cells = [(min(own, other), max(own, other)) for other in range(chunks)]
+                    part = {"view": [view.as_py()] * chunks, "shard": [shard.as_py()] * chunks, "low": [c[0] for c in cells], "high": [c[1] for c in cells]}
+                    columns = [pa.array(v, pa.int32()) for v in part.values()] + [pa.array([own] * chunks, pa.int32()), pa.array([visits.as_py()] * chunks), pa.array([mine] * chunks, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, [*part, "chunk", "visits", "points"])
+
     def join(key, parts: pa.Table) -> pa.Table:
-        sides = {False: [np.empty(0, "<u8")], True: [np.empty(0, "<u8")]}
-        for visits, points in zip(parts.column("visits").to_pylist(), parts.column("points").to_pylist(), strict=True):
-            sides[visits].append(np.frombuffer(points, "<u8"))
-        homes, visitors = np.sort(np.concatenate(sides[False])), np.sort(np.concatenate(sides[True]))
-        a, b = found(np.concatenate((homes, visitors)), compared(homes, visitors, reach))
+        low, high = key[2].as_py(), key[3].as_py()
+        held = {(c, v): [np.empty(0, "<u8")] for c in (low, high) for v in (False, True)}
+        for chunk, visits, packed in zip(*(parts.column(c).to_pylist() for c in ("chunk", "visits", "points")), strict=True):
+            held[chunk, visits].append(np.frombuffer(packed, "<u8"))
+        sides = {k: np.sort(np.concatenate(v)) for k, v in held.items()}
+        a, b = found(np.concatenate(list(sides.values())), met(sides, low, high, reach))
         return pa.table({"view": pa.array([key[0].as_py()] * len(a), pa.int32()), "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    shards = points.mapInArrow(route, "view int, shard int, visits boolean, points binary")
-    edges = shards.groupBy("view", "shard").applyInArrow(lambda k, t: join(k, t), "view int, a long, b long")
+    cells = shards.mapInArrow(cut, "view int, shard int, low int, high int, chunk int, visits boolean, points binary")
+    edges = cells.groupBy("view", "shard", "low", "high").applyInArrow(lambda k, t: join(k, t), "view int, a long, b long")
     return edges if views else edges.drop("view")
 
 
