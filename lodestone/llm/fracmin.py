@@ -10,6 +10,8 @@ the range that both cover.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,9 @@ FRACTION = 16
 FLOOR = 16
 BOUND = (1 << 63) // FRACTION
 _ALL = (1 << 63) - 1
+# Rows with one id and one text that are more than this, and more than a bucket should hold, are spread;
+# of so many, as many as ``STAY`` are expected to stay where they are, and one has to.
+REPEATED_ROWS, STAY = 10_000, 100
 
 
 def words(text: Column) -> Column:
@@ -75,26 +80,51 @@ def as_text(sketch: Column) -> Column:
     return F.array_join(F.transform(sketch, lambda h: F.lpad(F.lower(F.hex(h)), 16, "0")), "")
 
 
-def in_buckets(rows: DataFrame, doc_id: str = "doc_id") -> DataFrame:
-    """``rows`` with ``_bucket``: ranges of ids, ascending, about as many as shuffle partitions.
+def _numbers(values: list[int]) -> Column:
+    return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
 
-    The limits are approximate quantiles, one number per bucket. They sit in groups, so
-    that a row looks at about twice the square root of their number.
-    """
-    count = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    limits = rows.agg(F.percentile_approx(F.col(doc_id).cast("long"), [i / count for i in range(1, count)] or [0.5], 10 * count)).first()[0]
-    limits = sorted(set(limits or [0]))
-    step = max(1, round(len(limits) ** 0.5))
-    groups = [limits[i : i + step] for i in range(0, len(limits), step)]
 
-    def numbers(values: list[int]) -> Column:
-        return F.split(F.lit(",".join(map(str, values))), ",").cast("array<bigint>")
+def in_buckets(rows: DataFrame, doc_id: str = "doc_id", tie: str = "_tie") -> DataFrame:
+    """``rows`` with ``_bucket`` and ``_spread``: ranges of (id, tie), ascending, about as many as shuffle partitions.
 
-    lists = F.transform(F.split(F.lit(";".join(",".join(map(str, g)) for g in groups)), ";"), lambda g: F.split(g, ",").cast("array<bigint>"))
-    group = F.size(F.filter(numbers([g[0] for g in groups]), lambda b: b <= F.col("_id")))
-    inside = F.size(F.filter(F.element_at(lists, F.col("_group")), lambda b: b <= F.col("_id")))
-    out = rows.withColumn("_id", F.col(doc_id).cast("long")).withColumn("_group", group)
-    return out.withColumn("_bucket", F.when(F.col("_group") > 0, (F.col("_group") - 1) * step + inside).otherwise(0)).drop("_group", "_id")
+    The limits are approximate quantiles of the ids, one number per bucket. An id that fills
+    several buckets is cut into as many even ranges of the tie, a hash; so are rows without
+    id, which come first. Rows that are equal in both, in such an id, cannot be parted by order and need
+    none: most of them get a ``_spread`` from 1 on, the others and all other rows 0. The limits sit in
+    groups, so that a row looks at about twice the square root of their number.
+    """
+    count = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    rows = rows.withColumn("_id", F.col(doc_id).cast("long"))
+    parts = [i / count for i in range(1, count)] or [0.5]
+    found, total, known = rows.agg(F.percentile_approx("_id", parts, 10 * count), F.count("*"), F.count("_id")).first()
+    shares = Counter((1, limit) for limit in found or [0])  # (0 for rows without id, id): buckets it fills
+    shares[0, 0] = max(1, count * (total - known) // max(1, total))
+    step = {at: (1 << 64) // n for at, n in shares.items()}
+    limits = sorted((*at, k * step[at] - (1 << 63)) for at, n in shares.items() for k in range(n))
+    size = max(1, round(len(limits) ** 0.5))
+
+    def structs(values: list[tuple[int, int, int]]) -> Column:
+        return F.arrays_zip(*[_numbers([v[i] for v in values]).alias(name) for i, name in enumerate(("known", "id", "tie"))])
+
+    at = F.struct(F.col("_id").isNotNull().cast("bigint").alias("known"), F.coalesce("_id", F.lit(0).cast("bigint")).alias("id"), F.col(tie).alias("tie"))
+    rows = rows.withColumn("_at", at)
+    group = F.size(F.filter(structs(limits[::size]), lambda b: b <= F.col("_at")))
+    inside = F.size(F.filter(F.slice(structs(limits), (F.col("_group") - 1) * size + 1, F.lit(size)), lambda b: b <= F.col("_at")))
+    out = rows.withColumn("_group", group).withColumn("_bucket", (F.col("_group") - 1) * size + inside)
+
+    # Rows in crowded ids that are equal in id and tie: at most as many pairs as buckets.
+    crowded = [i for (known, i), n in shares.items() if known and n > 1]
+    often = max(REPEATED_ROWS, total // count)
+    spread = F.lit(0)
+    if crowded or shares[0, 0] > 1:
+        test = F.array_contains(_numbers(crowded), F.col("_id")) if crowded else F.lit(False)
+        repeated = rows.where(test | F.col("_id").isNull()).groupBy("_id", tie).count().where(F.col("count") > often).collect()
+        if repeated:
+            pairs = structs([(int(r["_id"] is not None), r["_id"] or 0, r[tie]) for r in repeated])
+            out = out.withColumn("_chance", F.rand(7))
+            away = F.array_contains(pairs, F.col("_at")) & (F.col("_chance") >= max(1 / count, STAY / often))
+            spread = F.when(away, 1 + F.floor(F.col("_chance") * count)).otherwise(0)
+    return out.withColumn("_spread", spread.cast("int")).drop("_group", "_id", "_at", "_chance")
 
 
 def edited(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -115,13 +145,16 @@ def edited(docs: DataFrame, text: str = "text") -> DataFrame:
     order = Window.orderBy("_bucket")
     firsts = firsts.select("_bucket", "at", F.coalesce(F.lag("_bucket").over(order), F.max("_bucket").over(Window.partitionBy())).alias("_after"))
     heads = rows.join(F.broadcast(firsts), (rows["_bucket"] == firsts["_bucket"]) & rows["doc_id"].eqNullSafe(firsts["at.id"]) & (rows["_tie"] == firsts["at.tie"]))
-    heads = with_sketch(heads.select("_after", F.col("text").alias("_head")), "_head", "_head_sketch")
-    heads = heads.groupBy("_after").agg(F.min("_head").alias("_head"), F.min("_head_sketch").alias("_head_sketch"))
+    heads = with_sketch(heads.groupBy("_after").agg(F.min("text").alias("_head")), "_head", "_head_sketch")
     own = with_sketch(rows, "text", "sketch")
-    follow = Window.partitionBy("_bucket").orderBy(F.col("doc_id").asc_nulls_first(), "_tie")
+    follow = Window.partitionBy("_bucket", "_spread").orderBy(F.col("doc_id").asc_nulls_first(), "_tie")
     own = own.withColumns({"_next": F.lead("text").over(follow), "_next_sketch": F.lead("sketch").over(follow)}).drop("_tie")
     own = own.join(heads, own["_bucket"] == heads["_after"], "left")
-    own = own.select("doc_id", "text", "sketch", F.coalesce("_next", "_head").alias("_next"), F.coalesce("_next_sketch", "_head_sketch").alias("next_sketch"))
+
+    def after(lead: str, head: str, self: str) -> Column:
+        return F.when(F.col("_spread") > 0, F.col(self)).otherwise(F.coalesce(lead, head))
+
+    own = own.select("doc_id", "text", "sketch", after("_next", "_head", "text").alias("_next"), after("_next_sketch", "_head_sketch", "sketch").alias("next_sketch"))
     own = own.withColumn("n_chars", F.length("text").cast("long"))
     cut = F.floor(F.col("n_chars") / 4).cast("int")
     own = own.withColumn("edited", F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - cut), F.substring("_next", F.lit(1), cut))).drop("_next")

@@ -11,8 +11,10 @@ import zlib
 import numpy as np
 import pytest
 import sentencepiece
+from pyspark.sql import functions as F
 
-from lodestone.llm import audit, common, pieces, queries, resampling, simhash
+from lodestone.llm import audit, common, fracmin, pieces, queries, resampling, simhash
+from lodestone.session import Workspace
 
 SPACE = r"[^\x20\x09-\x0D]+"
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -289,3 +291,58 @@ def test_copies_of_odd_rows(spark):
     kept = simhash.without_copies(frame)
     assert kept.columns == frame.columns and sorted(str(r.doc_id) for r in kept.collect()) == ["1", "10", "4", "7", "8", "None"]
     assert simhash.near_copies(frame.limit(0)).count() == 0 and simhash.without_copies(frame.limit(0)).count() == 0
+
+
+# --- crowded keys ----------------------------------------------------------------------------
+
+
+def test_shards_in_chunks(spark, monkeypatch):
+    """Chunks of a shard find the links that one task finds, and no task holds more than the bound."""
+    rng = np.random.default_rng(8)
+    middles = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
+    points = {int(m) for m in middles}
+    for m in middles:
+        points |= {int(m ^ sum(np.uint64(1) << np.uint64(b) for b in rng.choice(64, k, replace=False))) for k in (1, 2, 3, 4, 5) for _ in range(4)}
+    points = np.array(sorted(points), np.uint64)
+    a, b = np.nonzero(np.triu(np.bitwise_count(points[:, None] ^ points[None, :]) <= simhash.RADIUS, 1))
+    want = simhash.forest(points, [(points[a], points[b])])
+    frame = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    for least in (simhash.TASK_POINTS, 300):
+        monkeypatch.setattr(simhash, "TASK_POINTS", least)
+        monkeypatch.setattr(simhash, "SHARD_POINTS", 400)
+        edges = simhash.links(Workspace(spark, "t"), frame).collect()
+        found = [np.array([r[c] for r in edges], np.int64).view(np.uint64) for c in "ab"]
+        got = simhash.forest(points, [(found[0], found[1])])
+        assert all(np.array_equal(x, y) for x, y in zip(got, want, strict=True))
+
+
+def test_chunks_meet_each_pair(monkeypatch):
+    monkeypatch.setattr(simhash, "BLOCK_POINTS", 50)  # the vantage points of a task part homes from those of other chunks
+    rng = np.random.default_rng(9)
+    points = np.unique(rng.integers(0, 1 << 14, 900, dtype=np.uint64))
+    homes, visitors = points[::2], points[1::2]
+    sides = {(c, v): p[p % 2 == c] for v, p in ((False, homes), (True, visitors)) for c in (0, 1)}
+    met = [p for low, high in ((0, 0), (0, 1), (1, 1)) for p in simhash.met(sides, low, high)]
+    got = sorted((min(x, y), max(x, y)) for a, b in met for x, y in zip(a.tolist(), b.tolist(), strict=True))
+    own = set(homes.tolist())
+    want = [(x, y) for i, x in enumerate(points.tolist()) for y in points.tolist()[i + 1 :] if (x in own or y in own) and (x ^ y).bit_count() <= simhash.RADIUS]
+    assert got == want
+
+
+def test_fingerprints_of_one_id(spark, monkeypatch):
+    """Most rows share an id, or have none, with texts alike and unlike: still in order, and in no bucket together."""
+    monkeypatch.setattr(fracmin, "REPEATED_ROWS", 500)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    rows = [(7, f"text {i} of seven") for i in range(3_000)] + [(7, "the same")] * 3_000 + [(None, "")] * 2_000 + [(None, f"no id {i}") for i in range(500)]
+    rows += [(i, f"text of {i}") for i in range(-400, 400) if i != 7]
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4, "text").cache()
+    buckets = fracmin.in_buckets(frame.withColumn("_tie", F.xxhash64("text")))
+    assert max(r["count"] for r in buckets.groupBy("_bucket", "_spread").count().collect()) < 3 * len(rows) // 16
+    key = {r.text: r.k for r in frame.select("text", F.xxhash64("text").alias("k")).distinct().collect()}
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, key[r[1]]))
+    want = [(i, t, t[: len(t) - len(t) // 4] + after[: len(t) // 4]) for (i, t), (_, after) in zip(order, order[1:] + order[:1], strict=True)]
+    got = [(r.doc_id, r.text, r.edited) for r in fracmin.edited(frame).select("doc_id", "text", "edited").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    frame.unpersist()
+    spark.conf.set("spark.sql.shuffle.partitions", before)
