@@ -10,7 +10,7 @@ vantage point. Of a pair that is parted at some vantage point, only the outer po
 crosses over, so a pair meets in exactly one shard. The shard's task goes on splitting
 in the same way and compares the small rests bit by bit, exactly. A shard of more than
 ``TASK_POINTS`` points, visitors included, is cut into chunks, and each pair of chunks is
-a task of its own, so no task holds more, however the tree parts the points.
+a task of its own, so a task holds about that many at most, however the tree parts the points.
 
 A shard returns a spanning forest of its links, never the pairs of a group, and
 connected components are found on these edges.

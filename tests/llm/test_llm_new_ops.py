@@ -297,7 +297,7 @@ def test_copies_of_odd_rows(spark):
 
 
 def test_shards_in_chunks(spark, monkeypatch):
-    """Chunks of a shard find the links that one task finds, and no task holds more than the bound."""
+    """Chunks of a shard find the links that one task, and all pairs, find."""
     rng = np.random.default_rng(8)
     middles = rng.integers(0, 1 << 63, 60, dtype=np.uint64)
     points = {int(m) for m in middles}
