@@ -69,3 +69,16 @@ def test_money(spark):
 def test_pattern_dialect():
     assert t.rx(r"a\s[\s\S]b$").startswith("a[") and r"\z" in t.rx("x$")
     assert t.rx(r"[A-Z\s]\.") == f"[A-Z{t.BLANK}]\\."
+
+
+def test_blanks(spark):
+    odd = ["  a\t　b  c ", " a b ", "\n", "a​b", "x   y", None]
+    assert results(spark, t.clean, odd) == ["a b c", "a b", "", "a​b", "x y", None]
+    assert results(spark, t.trim, odd) == ["a\t　b  c", "a b", "", "a​b", "x   y", None]
+    chars = [(i, chr(i)) for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000]
+    every = spark.createDataFrame(chars, "id int, c string")
+    blank = {r["id"] for r in every.where(F.col("c").rlike(f"[{t.BLANK}]")).collect()}
+    assert blank == set(map(ord, t.BLANKS))
+    assert every.where(F.col("c").rlike(f"[^{t.BLANK}<]")).count() == every.count() - len(blank) - 1
+    # Only ends are looked at: a trim by pattern tries every place of the text.
+    assert "regexp" not in spark.range(1).select(t.trim(F.col("id").cast("string")))._jdf.queryExecution().analyzed().toString()

@@ -273,3 +273,12 @@ def test_hot_terms(spark):
     plain = {r["k"]: r["names"] for r in enrich.lookup_names(*args).collect()}
     sliced = {r["k"]: r["names"] for r in enrich.lookup_names(*args, n_ids=300, hot_rows=10).collect()}
     assert plain == sliced and plain[2] == ["n1", "n2"]
+
+
+def test_captures_of_cards_read_their_listings_once(spark, sf):
+    for registry in ("FOX Realty", "Altamira"):
+        pages = captures.capture(spark, sf, registry, "house")
+        assert "Union" not in pages._jdf.queryExecution().optimizedPlan().toString()
+    pages = captures.capture(spark, sf, "FOX Realty", "house")
+    assert pages.schema.names == schema.CARD_TEXT.names
+    assert {r["pos"]: r["count"] for r in pages.groupBy("pos").count().collect()} == dict.fromkeys((0, 1), proxies.houses(spark, sf).count())
