@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone import captures, fixed, schema
+from lodestone.functions import numbers as n
 from lodestone.operators import dedup, enrich
 from lodestone.plans import refresh, stats
 from lodestone.sources import extract, proxies, readers
@@ -282,3 +283,18 @@ def test_captures_of_cards_read_their_listings_once(spark, sf):
     pages = captures.capture(spark, sf, "FOX Realty", "house")
     assert pages.schema.names == schema.CARD_TEXT.names
     assert {r["pos"]: r["count"] for r in pages.groupBy("pos").count().collect()} == dict.fromkeys((0, 1), proxies.houses(spark, sf).count())
+
+
+def test_patterns_are_searched_once(spark, sf):
+    """The pattern of the link of an agency card, on which the card's validity depends, stands in the plan once."""
+    spark.conf.set("spark.sql.debug.maxToStringFields", "1000")
+    for registry, kind, pattern in (("EstateBud-WP agencies", "house", r"nchrealestate\.com/property"), ("Kadis Estates", "plot", r"kadis\.com\.cy/property")):
+        plan = captures.listings(spark, sf, registry, kind)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count(pattern) == 1
+
+
+def test_attributes_in_any_case(spark):
+    texts = ["<STRONG>1,280.5</Strong> M²", "<strong>3</strong> <strong>4</strong> m²", "<strong>5</strong> m", "İ <strong>6</strong> m²", None]
+    rows = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, s string")
+    found = rows.select("i", n.strong_attr(F.col("s"), "m²").alias("v")).orderBy("i").collect()
+    assert [r.v for r in found] == [12805.0, 4.0, None, 6.0, None]
