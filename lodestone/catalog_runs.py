@@ -142,7 +142,9 @@ def capture_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     parts = []
     for registry, kind in (("Bazaraki", "house"), ("eAuction", "house"), ("Bazaraki", "plot")):
         spec, pages = specs(kind, registry)[0], captures.capture(spark, sf, registry, kind)
-        cards = Workspace(spark, "quarantine").table("cards", extract.cards(spec, pages))
+        # Of the cards only their place and whether they are valid: the fields behind need not be found, nor written.
+        cards = extract.cards(spec, pages).select(*extract.CAPTURE, "pos", "valid")
+        cards = Workspace(spark, "quarantine").table("cards", cards)
         held = extract.quarantine(spec, pages, cards)
         rows = [
             extract.pages_of(spec, pages).select("source", "kind", F.lit("page").alias("of")),

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone import captures, catalog, fixed, schema
+from lodestone import captures, catalog, catalog_runs, fixed, schema
 from lodestone.operators import enrich
 from lodestone.plans import changes, cluster, query, refresh, search, stats, summaries
 from lodestone.sources import extract, proxies, readers
@@ -225,3 +225,19 @@ def test_long_taxonomies_are_joined(spark, sf, monkeypatch, registry):
     assert "_names" in plan(extract.cards(spec, pages, known))
     with pytest.raises(LookupError):
         extract.cards(spec, pages, known.limit(0))
+
+
+def test_quarantine_keeps_no_fields(spark, sf, monkeypatch):
+    """The quarantine's count writes the places of the cards, not their listings."""
+    written, table = [], catalog_runs.Workspace.table
+    monkeypatch.setattr(catalog_runs.Workspace, "table", lambda self, name, df, by=None: written.append(df.columns) or table(self, name, df, by))
+    catalog_runs.capture_quarantine(spark, sf)
+    assert written == [[*extract.CAPTURE, "pos", "valid"]] * 3
+
+
+def test_seq_of_many_pages(spark):
+    """The six-fold large tables have 54 million pages of one source; the last source's numbers still fit."""
+    pages = spark.createDataFrame([(2**25, 0), (2**26 - 1, 2**20 - 1)], "page_no bigint, pos int")
+    last = len(fixed.HOUSE_REGISTRY) - 1
+    found = [r[0] for r in pages.select(schema.capture_seq(last, F.lit(15), F.col("page_no"), F.col("pos"))).collect()]
+    assert found[0] < found[1] < 2**schema.SEQ_BITS and last < 32
