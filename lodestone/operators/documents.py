@@ -1,5 +1,8 @@
 """Notice documents: table rows from positioned text, lot choice, photo test."""
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +11,8 @@ from ..functions import numbers as n
 from ..functions.text import grab, has, trim
 
 PAGE = ["code", "doc", "page"]  # a code may have several documents
+BLOCK_BANDS = 16  # row bands in a block of heights
+TASK_ROWS = 1_000_000  # tokens of a notice that a task should see
 
 
 def band_join(anchors: DataFrame, tokens: DataFrame, on: list[str], reach: int) -> DataFrame:
@@ -25,15 +30,19 @@ def band_join(anchors: DataFrame, tokens: DataFrame, on: list[str], reach: int)
     )
 
 
+def page_key() -> Column:
+    """One text that names a page, so that shuffles and sorts have a single key; null where a part is."""
+    return F.concat("page", F.lit(":"), F.length("code"), F.lit(":"), "code", "doc").alias("_page")
+
+
 def heading_positions(items: DataFrame) -> DataFrame:
-    """Column positions of a page: place of the first token that holds a heading."""
+    """Column positions of a page: place of the first token that holds a heading; a page without headings has no row."""
+    held = {name: [F.contains("s", F.lit(w)) for w in words] for name, words in fixed.NOTICE_HEADINGS.items()}
     picks = []
-    for name, words in fixed.NOTICE_HEADINGS.items():
-        hits = [
-            F.min(F.when(F.contains("s", F.lit(w)), F.struct("item_no", "x")))["x"] for w in words
-        ]
+    for name, tests in held.items():
+        hits = [F.min(F.when(test, F.struct("item_no", "x")))["x"] for test in tests]
         picks.append(F.coalesce(*hits, F.lit(None).cast("int")).alias(f"{name}_x"))
-    return items.groupBy(*PAGE).agg(*picks)
+    return items.where(reduce(or_, sum(held.values(), []))).select(page_key(), "s", "item_no", "x").groupBy("_page").agg(*picks)
 
 
 def type_order(token: Column) -> Column:
@@ -43,29 +52,69 @@ def type_order(token: Column) -> Column:
     )
 
 
+def cell_values(items: DataFrame, reach: int) -> DataFrame:
+    """The tokens that can be a cell, as what they can be: a fraction, an area, a property word; once for each block they reach into.
+
+    The explode parts the values from the choice of tokens: Spark would move a plain filter below the
+    values and search every pattern once more.
+    """
+    text = items.select(page_key(), "item_no", "x", "y", trim(F.col("s")).alias("s"))
+    s, fraction = F.col("s"), F.col("fraction")
+    numeric = F.ascii(s).between(ord(","), ord("9"))  # what starts otherwise is no number, and needs no pattern
+    text = text.select(
+        "_page", "item_no", "x", "y", F.when(numeric & has(s, r"^\d+/\d+$"), s).alias("fraction"),
+        F.when(numeric, n.notice_area(s)).alias("area"), type_order(s).alias("word"),
+    )
+    some = fraction.isNotNull() | F.col("area").isNotNull() | F.col("word").isNotNull()
+    height = reach * BLOCK_BANDS
+    first, last = (F.floor((F.col("y") + d) / height) for d in (1 - reach, reach - 1))
+    cell = [F.struct(block.alias("_block"), "fraction", "area", "word") for block in (first, last)]
+    value = F.explode_outer(F.when(some, F.when(first == last, F.array(cell[0])).otherwise(F.array(*cell))))
+    text = text.select("_page", "item_no", "x", "y", value.alias("value")).where("value IS NOT NULL")
+    return text.select("_page", "item_no", "x", "y", "value.*")
+
+
 def notice_rows(items: DataFrame) -> DataFrame:
-    """Lots of a notice table, read by column position around each row marker."""
-    text = items.withColumn("s", trim(F.col("s"))).where(F.col("s") != "")
-    markers = text.where((F.col("x") < fixed.NOTICE_MARKER_X) & has(F.col("s"), r"^\d+\.\*{0,4}$")).select(
-        *PAGE, F.col("item_no").alias("row_no"), F.col("y").alias("anchor_y"),
-        n.int_of(grab(F.col("s"), r"^(\d+)")).alias("idx"),
+    """Lots of a notice table, read by column position around each row marker.
+
+    A marker takes its page's heading positions along, so only tokens that fill a cell leave the join, and
+    a marker without any still gives a row. Markers lie in one block of heights, tokens near the
+    edge of a block also in the next, so a crowded page is cut by height.
+    """
+    s = trim(F.col("s"))
+    known = reduce(and_, [F.col(c).isNotNull() for c in (*PAGE, "y")])
+    page, spot = [*PAGE, "_page"], ["_page", "_block"]
+    markers = items.where((F.col("x") < fixed.NOTICE_MARKER_X) & has(s, r"^\d+\.\*{0,4}$") & known).select(
+        *PAGE, page_key(), F.col("item_no").alias("row_no"), F.col("y").alias("anchor_y"), n.int_of(grab(s, r"^(\d+)")).alias("idx"),
     )
-    cells = band_join(markers, text, PAGE, fixed.NOTICE_ROW_BAND).join(heading_positions(text), PAGE)
+    reach = fixed.NOTICE_ROW_BAND
+    markers = markers.join(heading_positions(items), "_page", "left").withColumn("_block", F.floor(F.col("anchor_y") / (reach * BLOCK_BANDS)))
+    tokens = cell_values(items, reach)
 
     def near(name: str) -> Column:
         return F.coalesce(F.abs(F.col("x") - F.col(f"{name}_x")) <= fixed.NOTICE_TOLERANCE[name], F.lit(False))
 
-    def leftmost(test: Column, value: Column) -> Column:
-        return F.min(F.when(test, F.struct("x", "item_no", value.alias("v"))))["v"]
-
-    s = F.col("s")
-    area = n.notice_area(s)
-    word = type_order(s)
-    rows = cells.groupBy(*PAGE, "row_no", "idx").agg(
-        leftmost(near("registration") & has(s, r"^\d+/\d+$"), s).alias("registration"),
-        leftmost(near("share") & n.share_is_valid(s), s).alias("share"),
-        leftmost(near("area") & area.isNotNull(), area).alias("_area"),
-        F.coalesce(F.min(F.when(near("type"), word)), F.min(word)).alias("_type"),
+    def leftmost(test: Column, value: str) -> Column:
+        return F.min(F.when(test, F.struct("x", "item_no", F.col(value).alias("v"))))
+
+    cells = {
+        "registration": (near("registration") & F.col("fraction").isNotNull(), "fraction"),
+        "share": (near("share") & F.col("fraction").isNotNull() & n.share_is_valid(F.col("fraction")), "fraction"),
+        "_area": (near("area") & F.col("area").isNotNull(), "area"),
+    }
+    fills = reduce(or_, [test for test, _ in cells.values()]) | F.col("word").isNotNull()
+    on = reduce(and_, [markers[c] == tokens[c] for c in spot])
+    on = on & (F.abs(F.col("y") - F.col("anchor_y")) < reach) & fills
+    parts = task_count(items)
+    met = markers.repartition(parts, *spot).join(tokens.repartition(parts, *spot), on, "left").drop(*[tokens[c] for c in spot])
+    word = F.col("word")
+    found = met.groupBy(*page, "_block", "row_no", "idx").agg(
+        *[leftmost(test, value).alias(name) for name, (test, value) in cells.items()],
+        F.min(F.when(near("type"), word)).alias("_near"), F.min(word).alias("_any"),
+    )
+    # A marker's number is its own as a rule, and its row complete; markers that share one are one row.
+    rows = found.repartition(parts, "_page").groupBy(*page, "row_no", "idx").agg(
+        *[F.min(name)["v"].alias(name) for name in cells], F.coalesce(F.min("_near"), F.min("_any")).alias("_type")
     )
     english = F.array(*[F.lit(v) for v in fixed.NOTICE_PROPERTY_TYPES.values()])
     return rows.select(
@@ -75,6 +124,12 @@ def notice_rows(items: DataFrame) -> DataFrame:
     )
 
 
+def task_count(items: DataFrame) -> int:
+    """Tasks by rows. The adaptive shuffle counts bytes, of which short and similar tokens have so few
+    that its tasks hold, and spill, twenty times as much once they are read."""
+    return max(items.sparkSession.sparkContext.defaultParallelism, -(-items.count() // TASK_ROWS))
+
+
 def wanted_lot(code: Column) -> Column:
     """Lot number in a code: `…-002` is the second lot, no suffix the first."""
     return F.coalesce(n.number(grab(code, r"-(\d+)$")), F.lit(1.0))

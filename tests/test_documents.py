@@ -77,3 +77,31 @@ def test_detail_links(spark):
     df = spark.createDataFrame([(2, "/Auction/Details/2"), (1, "/Auction/Details/1"), (3, "/x"), (4, None)], "seq bigint, link string")
     assert [r["seq"] for r in documents.detail_links(df).collect()] == [1, 2]
     assert [r["seq"] for r in documents.detail_links(df, limit=1).collect()] == [1]
+
+
+def test_notice_rows_of_odd_places(spark):
+    """Blocks of heights, negative heights, pages without headings, markers of one number and rows without a place."""
+    reach = documents.fixed.NOTICE_ROW_BAND
+    edge = reach * documents.BLOCK_BANDS
+    cells = [
+        *HEAD, ("1.", 20, edge), ("0/7", 60, edge - reach + 1), ("1/2", 300, edge + reach - 1), ("5", 200, edge - reach),
+        ("2.", 20, -edge), ("0/9", 60, -edge - reach + 1), ("1.234.567,5", 200, -edge - 1), ("1,2,3", 190, -edge), ("00001/2", 300, -edge),
+    ]
+    rows = [("C", "a", 1, i, *c) for i, c in enumerate(cells)]
+    rows += [("D", "a", 1, 0, "1.", 20, 60), ("D", "a", 1, 1, "ΓΗ", 90, 60), ("D", "a", 1, 2, "0/7", 60, 60)]
+    rows += [("E", "a", 1, 0, "Εγγραφή", 60, 0), ("E", "a", 1, 1, "1.", 20, 60), ("E", "a", 1, 1, "1.", 20, 60 + 2 * edge), ("E", "a", 1, 2, "0/3", 60, 60 + 2 * edge)]
+    rows += [(None, "a", 1, 0, "1.", 20, 60), ("F", "a", None, 0, "1.", 20, 60), ("F", "a", 1, 0, "1.", 20, None), ("F", "a", 1, 1, None, 20, 5)]
+    got = documents.notice_rows(spark.createDataFrame(rows, schema.PDF_ITEMS)).select("code", "idx", "registration", "share", "areaSqm", "propertyType")
+    assert sorted(map(tuple, got.collect())) == [
+        ("C", 1, "0/7", "1/2", None, None), ("C", 2, "0/9", None, 1234568.0, None), ("D", 1, None, None, None, "Land"), ("E", 1, "0/3", None, None, None),
+    ]
+
+
+
+
+def test_notice_tokens_do_not_travel_whole(spark):
+    """Only what can be a cell is shuffled, in tasks by rows; headings, markers and other words stay behind."""
+    tokens = documents.cell_values(items(spark, *HEAD, ("1.", 20, 60), ("0/7", 105, 60), ("1.234,5", 210, 81), ("η ΓΗ", 1, 60), ("word", 1, 60)), 22)
+    assert [(r["fraction"], r["area"], r["word"] is None) for r in tokens.orderBy("item_no").collect()] == [
+        (None, 1.0, True), ("0/7", None, True), (None, 1235.0, True), (None, None, False),
+    ]
