@@ -200,13 +200,24 @@ def partners(points: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]])
     return order[at], order[to]
 
 
+def apart(points: np.ndarray, names: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The linked pairs whose points have different names, in parts."""
+    order, at = np.unique(points, return_index=True)
+    name = names[at]
+    for a, b in pairs:
+        differ = name[np.searchsorted(order, a)] != name[np.searchsorted(order, b)]
+        if differ.any():
+            yield a[differ], b[differ]
+
+
 def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -> DataFrame:
     """Edges a, b (signed longs) of the distinct fingerprints ``fp``, within each ``view`` if there is that column.
 
     ``found`` picks them from a shard's links: a forest that joins all that the links join, or else `partners`.
+    Points with a column ``name`` (a long) give every link between different names instead, in parts.
     """
-    views = "view" in points.columns
-    points = points.select(F.col("view") if views else F.lit(0).alias("view"), "fp")
+    views, named = "view" in points.columns, "name" in points.columns
+    points = points.select(F.col("view") if views else F.lit(0).alias("view"), "fp", *(["name"] if named else []))
     # All views are as large, and as random: one tree, of the first one's points, serves them all.
     one = points.where("view = 0")
     count = one.count()
@@ -221,9 +232,16 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -
             parts = [(v, *p) for v in np.unique(of).tolist() for p in routed(all_points[of == v], tree, reach=reach)]
             packs = [pa.array([p[i] for p in parts], t) for i, t in ((0, pa.int32()), (1, pa.int32()), (2, pa.bool_()))]
             packs.append(pa.array([p[3].astype("<u8").tobytes() for p in parts], pa.binary()))
-            yield pa.RecordBatch.from_arrays(packs, ["view", "shard", "visits", "points"])
-
-    shards = points.mapInArrow(route, "view int, shard int, visits boolean, points binary")
+            names = [b""] * len(parts)
+            if named:
+                name, orders = batch.column("name").to_numpy(), {}
+                for v in np.unique(of).tolist():
+                    order = np.argsort(all_points[of == v])
+                    orders[v] = all_points[of == v][order], name[of == v][order]
+                names = [orders[v][1][np.searchsorted(orders[v][0], held)].astype("<i8").tobytes() for v, _, _, held in parts]
+            yield pa.RecordBatch.from_arrays([*packs, pa.array(names, pa.binary())], ["view", "shard", "visits", "points", "names"])
+
+    shards = points.mapInArrow(route, "view int, shard int, visits boolean, points binary, names binary")
     shards = ws.table("routed", shards)
     # A row per shard, of which the tree has at most as many as its sample has points.
     sizes = shards.groupBy("view", "shard").agg(F.sum(F.octet_length("points") / 8).alias("n"))
@@ -232,15 +250,16 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for view, shard, visits, held, chunks in zip(*(batch.column(c) for c in ("view", "shard", "visits", "points", "chunks")), strict=True):
-                chunks, held = chunks.as_py(), np.frombuffer(held.as_py(), "<u8")
+            for view, shard, visits, held, names, chunks in zip(*(batch.column(c) for c in ("view", "shard", "visits", "points", "names", "chunks")), strict=True):
+                chunks, held, names = chunks.as_py(), np.frombuffer(held.as_py(), "<u8"), np.frombuffer(names.as_py(), "<i8")
                 chunk = (held * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(32)) % np.uint64(chunks) if chunks > 1 else np.zeros(len(held), np.uint64)
                 for own in np.unique(chunk).tolist():
                     mine = held[chunk == own].tobytes()
+                    of_mine = names[chunk == own].tobytes() if named else b""
                     cells = [(min(own, other), max(own, other)) for other in range(chunks)]
                     part = {"view": [view.as_py()] * chunks, "shard": [shard.as_py()] * chunks, "low": [c[0] for c in cells], "high": [c[1] for c in cells]}
-                    columns = [pa.array(v, pa.int32()) for v in part.values()] + [pa.array([own] * chunks, pa.int32()), pa.array([visits.as_py()] * chunks), pa.array([mine] * chunks, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, [*part, "chunk", "visits", "points"])
+                    columns = [pa.array(v, pa.int32()) for v in part.values()] + [pa.array([own] * chunks, pa.int32()), pa.array([visits.as_py()] * chunks), pa.array([mine] * chunks, pa.binary()), pa.array([of_mine] * chunks, pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, [*part, "chunk", "visits", "points", "names"])
 
     def join(key, parts: pa.Table) -> pa.Table:
         low, high = key[2].as_py(), key[3].as_py()
@@ -251,8 +270,23 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -
         a, b = found(np.concatenate(list(sides.values())), met(sides, low, high, reach))
         return pa.table({"view": pa.array([key[0].as_py()] * len(a), pa.int32()), "a": a.view(np.int64), "b": b.view(np.int64)})
 
-    cells = shards.mapInArrow(cut, "view int, shard int, low int, high int, chunk int, visits boolean, points binary")
-    edges = cells.groupBy("view", "shard", "low", "high").applyInArrow(lambda k, t: join(k, t), "view int, a long, b long")
+    def join_apart(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = key[2].as_py(), key[3].as_py()
+        held = {(c, v): [np.empty(0, "<u8")] for c in (low, high) for v in (False, True)}
+        names = {k: [np.empty(0, "<i8")] for k in held}
+        for batch in batches:
+            for chunk, visits, packed, of in zip(*(batch.column(c).to_pylist() for c in ("chunk", "visits", "points", "names")), strict=True):
+                held[chunk, visits].append(np.frombuffer(packed, "<u8"))
+                names[chunk, visits].append(np.frombuffer(of, "<i8"))
+        sides = {k: np.concatenate(v) for k, v in held.items()}
+        of = np.concatenate([n for v in names.values() for n in v])
+        for a, b in apart(np.concatenate(list(sides.values())), of, met({k: np.sort(v) for k, v in sides.items()}, low, high, reach)):
+            columns = [pa.array(np.full(len(a), key[0].as_py(), np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["view", "a", "b"])
+
+    cells = shards.mapInArrow(cut, "view int, shard int, low int, high int, chunk int, visits boolean, points binary, names binary")
+    groups = cells.groupBy("view", "shard", "low", "high")
+    edges = groups.applyInArrow(join_apart if named else lambda k, t: join(k, t), "view int, a long, b long")
     return edges if views else edges.drop("view")
 
 
@@ -315,11 +349,12 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
     """``doc_id``, ``_text_key``, ``component_id`` and ``_group`` for each row of ``docs``.
 
     Rows link if their texts' sets of ``shingle`` words have a Jaccard similarity of ``least`` or
-    more and one of the ``views`` fingerprints of their distinct words brings them together: a text
-    is compared with the smallest text of its fingerprint, and that one with the smallest and
-    the nearest fingerprint within ``reach`` bits. Every link is exact; a pair that no view
-    brings together is missed (measured in the README). Texts without words are alike. Odd
-    rows as in `near_duplicates`; ``_group`` names the group where no row has an id.
+    more and one of the ``views`` fingerprints of their distinct words brings them within ``reach`` bits.
+    Few comparisons come first: a text with the smallest text of its fingerprint, and that one with
+    those of the smallest and the nearest fingerprint within reach. Of all other pairs within
+    reach those that are in one group by then need none, and the rest are all compared. Every link is
+    exact; a pair that no view brings together is missed (measured in the README). Texts
+    without words are alike. Odd rows as in `near_duplicates`; ``_group`` names the group where no row has an id.
     """
     ws = Workspace(docs.sparkSession, "near-copies")
     rows = docs.select("doc_id", common.text_key(text).alias("_text_key"), F.col(text).alias("_text"))
@@ -349,8 +384,9 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = pa.array([shingles(t.as_py(), shingle).tobytes() for t in batch.column("_text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column("_text_key"), sets], ["key", "set"])
+            found = [shingles(t.as_py(), shingle) for t in batch.column("_text")]
+            columns = [batch.column("_text_key"), pa.array([len(s) for s in found], pa.int64()), pa.array([s.tobytes() for s in found], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["key", "size", "set"])
 
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -358,16 +394,49 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
             keep = [alike(*[np.frombuffer(s[i].as_py(), "<u8") for s in sets]) >= least for i in range(batch.num_rows)]
             yield batch.select(["x", "y"]).filter(pa.array(keep, pa.bool_()))
 
-    sets = ws.table("sets", source.mapInArrow(hashed, "key long, set binary"))
-    both = pairs.join(sets.select(F.col("key").alias("x"), F.col("set").alias("a")), "x").join(sets.select(F.col("key").alias("y"), F.col("set").alias("b")), "y")
-    edges = both.select("x", "y", "a", "b").mapInArrow(checked, "x long, y long")
-    groups = common.components(ws, ws.table("edges", edges.select(F.col("x").alias("a"), F.col("y").alias("b"))))
+    sets = ws.table("sets", source.mapInArrow(hashed, "key long, size long, set binary"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        both = pairs
+        for end, held in (("x", "a"), ("y", "b")):
+            both = both.join(sets.select(F.col("key").alias(end), F.col("set").alias(held)), end)
+        return both.select("x", "y", "a", "b").mapInArrow(checked, "x long, y long").select(F.col("x").alias("a"), F.col("y").alias("b"))
+
+    edges = ws.table("edges", linked(pairs))
+    rest = _pairs_between(ws, texts, seen, points, near, common.components(ws, edges), reach).join(pairs, ["x", "y"], "left_anti")
+    for end in "xy":
+        rest = rest.join(sets.select(F.col("key").alias(end), F.col("size").alias(f"size_{end}")), end)
+    # Sets of such unlike sizes cannot be alike enough; one more than that, as products are rounded.
+    rest = rest.where(F.least("size_x", "size_y") + 1 >= least * F.greatest("size_x", "size_y")).select("x", "y")
+    edges = edges.unionByName(ws.table("edges-rest", linked(ws.table("rest", rest))))
+    groups = common.components(Workspace(docs.sparkSession, "near-copies-groups"), edges)
     named = texts.select(F.col("_text_key").alias("id"), "least").join(groups, "id", "left").withColumn("_group", F.coalesce("component", "id"))
     smallest = named.groupBy("_group").agg(F.min("least").alias("component_id"))
     of_text = ws.table("components", named.join(smallest, "_group").select(F.col("id").alias("_text_key"), "component_id", "_group"))
     return rows_of.select("doc_id", "_text_key").join(of_text, "_text_key").select("doc_id", "_text_key", "component_id", "_group")
 
 
+def _pairs_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: DataFrame, near: DataFrame, groups: DataFrame, reach: int) -> DataFrame:
+    """Pairs x < y of texts of different ``groups`` that a view brings within reach: what the first comparisons may have missed.
+
+    Only fingerprints with a partner, or of several texts, can have such pairs. Links between two
+    fingerprints of one and the same group are left out where they are found, so the pairs of a group are never built.
+    """
+    of_text = texts.select(F.col("_text_key").alias("id")).join(groups, "id", "left").select(F.col("id").alias("key"), F.coalesce("component", "id").alias("of"))
+    fps = near.select("view", F.col("a").alias("fp")).union(near.select("view", "b")).union(points.where("n > 1").select("view", "fp")).distinct()
+    members = ws.table("members", seen.join(fps, ["view", "fp"], "left_semi").join(of_text, "key"))
+    held = members.groupBy("view", "fp").agg(F.min("of").alias("low"), F.max("of").alias("high"))
+    # A fingerprint of several groups has a name of its own, unlike all others.
+    own = F.xxhash64("fp", F.lit("several"))
+    held = ws.table("held", held.select("view", "fp", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(own).alias("name"), (F.col("low") < F.col("high")).alias("several")))
+    far = ws.table("far", links(Workspace(ws.spark, "near-copies-rest"), held.select("view", "fp", "name"), reach))
+    left, right = (members.select("view", F.col("fp").alias(fp), F.col("key").alias(key), F.col("of").alias(of)) for fp, key, of in (("a", "x", "of_x"), ("b", "y", "of_y")))
+    between = far.join(left, ["view", "a"]).join(right, ["view", "b"]).where("of_x <> of_y").select("x", "y")
+    several = held.where("several").select("view", F.col("fp").alias("a"))
+    inside = left.join(several, ["view", "a"], "left_semi").join(right.withColumnRenamed("b", "a"), ["view", "a"]).where("of_x <> of_y AND x < y").select("x", "y")
+    return between.unionByName(inside).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+
+
 def without_copies(docs: DataFrame, text: str = "text", **rule) -> DataFrame:
     """The rows of ``docs`` without near copies (`near_copies` with that rule): of each group the one with the smallest doc_id."""
     return _smallest(docs, text, near_copies(docs, text, **rule))

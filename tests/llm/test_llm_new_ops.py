@@ -346,3 +346,27 @@ def test_fingerprints_of_one_id(spark, monkeypatch):
     assert sorted(got, key=str) == sorted(want, key=str)
     frame.unpersist()
     spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_copies_beside_a_smaller_text_of_the_same_words(spark):
+    """Texts of the same words share all fingerprints; each order of them is a group, whichever text is the smallest."""
+    words = [f"w{i}" for i in range(100)]
+    rows = []
+    for family in range(6):
+        random.Random(family).shuffle(words)
+        rows += [(2 * family, " ".join(words)), (2 * family + 1, " ".join([*words[:-2], words[-1], words[-2]]))]
+    got = {r.doc_id: r.component_id for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(12)}
+
+
+def test_links_between_names(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 30, dtype=np.uint64)
+    points = np.unique(np.concatenate([base, *[base ^ (np.uint64(1) << np.uint64(b)) for b in range(4)]]))
+    names = {int(p): int(i % 7) for i, p in enumerate(points.view(np.int64))}
+    want = {(a, b) for a in names for b in names if a < b and (a ^ b).bit_count() <= 3 and names[a] != names[b]}
+    frame = spark.createDataFrame([(v, fp, n) for v in (0, 1) for fp, n in names.items()], "view int, fp long, name long")
+    for per_task in (1 << 20, 16):
+        monkeypatch.setattr(simhash, "TASK_POINTS", per_task)
+        got = [(r.view, min(r.a, r.b), max(r.a, r.b)) for r in simhash.links(Workspace(spark, "t"), frame).collect()]
+        assert sorted(got) == sorted((v, *p) for v in (0, 1) for p in want)
