@@ -51,6 +51,12 @@ BLOCK_POINTS = 4_096
 TASK_POINTS = 1 << 20
 # Rows of the distance matrix made at once.
 STRIPE = 256
+# Bytes of sets (each counted as COPY_BYTES at least) that a task comparing texts holds. Less than that is
+# still cut, from PART_BYTES on and into MOST_PARTS at most, so that the pairs of a large group are many tasks.
+TASK_BYTES = 1 << 25
+COPY_BYTES = 1 << 10
+PART_BYTES = 1 << 21
+MOST_PARTS = 8
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -210,20 +216,25 @@ def apart(points: np.ndarray, names: np.ndarray, pairs: Iterator[tuple[np.ndarra
             yield a[differ], b[differ]
 
 
-def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -> DataFrame:
+def upper_levels(points: DataFrame) -> dict[int, tuple[np.uint64, int]]:
+    """The tree's upper levels. All views are as large, and as random: one tree, of the first one's points, serves them all."""
+    one = points.where("view = 0")
+    count = one.count()
+    depth = max(0, int(np.ceil(np.log2(max(count, 1) / SHARD_POINTS))))
+    sample = [r.fp for r in one.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
+    return grown(np.array(sample, dtype=np.int64).view(np.uint64), depth)
+
+
+def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest, ends: bool = False) -> DataFrame:
     """Edges a, b (signed longs) of the distinct fingerprints ``fp``, within each ``view`` if there is that column.
 
     ``found`` picks them from a shard's links: a forest that joins all that the links join, or else `partners`.
-    Points with a column ``name`` (a long) give every link between different names instead, in parts.
+    Points with a column ``name`` (a long) give every link between different names instead, in parts, or with
+    ``ends`` only the points of such links, each as an edge to itself and at most once per task.
     """
     views, named = "view" in points.columns, "name" in points.columns
     points = points.select(F.col("view") if views else F.lit(0).alias("view"), "fp", *(["name"] if named else []))
-    # All views are as large, and as random: one tree, of the first one's points, serves them all.
-    one = points.where("view = 0")
-    count = one.count()
-    depth = max(0, int(np.ceil(np.log2(max(count, 1) / SHARD_POINTS))))
-    sample = [r.fp for r in one.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
-    tree = grown(np.array(sample, dtype=np.int64).view(np.uint64), depth)
+    tree = upper_levels(points)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -280,7 +291,13 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest) -
                 names[chunk, visits].append(np.frombuffer(of, "<i8"))
         sides = {k: np.concatenate(v) for k, v in held.items()}
         of = np.concatenate([n for v in names.values() for n in v])
-        for a, b in apart(np.concatenate(list(sides.values())), of, met({k: np.sort(v) for k, v in sides.items()}, low, high, reach)):
+        pairs = apart(np.concatenate(list(sides.values())), of, met({k: np.sort(v) for k, v in sides.items()}, low, high, reach))
+        if ends:
+            seen = np.empty(0, "<u8")
+            for a, b in pairs:
+                seen = np.union1d(seen, np.union1d(a, b))
+            pairs = [(seen, seen)]
+        for a, b in pairs:
             columns = [pa.array(np.full(len(a), key[0].as_py(), np.int32)), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, ["view", "a", "b"])
 
@@ -345,6 +362,46 @@ def alike(a: np.ndarray, b: np.ndarray) -> float:
     return common_ / (len(a) + len(b) - common_) if len(a) + len(b) else 1.0
 
 
+def copies(points: np.ndarray, names: np.ndarray, sets: list[np.ndarray], meets: list[tuple[np.ndarray, np.ndarray]], reach: int, least: float) -> list[tuple[int, int]]:
+    """Pairs of places of texts that are copies and join two names: a forest over the names, the texts of which may be many.
+
+    ``meets`` has places that are compared with others, or with each other if both are the same array. Texts beyond
+    ``reach`` or of one name by then need no comparison, nor those whose sets are of too unlike sizes.
+    """
+    size = np.array([len(s) for s in sets], np.int64)
+    start = np.concatenate(([0], np.cumsum(size)))
+    tokens = np.unique(np.concatenate([np.empty(0, "<u8"), *sets]), return_inverse=True)[1]
+    mark = np.zeros(len(tokens) + 1, bool)
+    name, out = np.unique(names, return_inverse=True)[1], []
+    for rows, others in meets:
+        each_once = rows is others
+        for i in range(0, len(rows), STRIPE):
+            for j in range(0, len(others), 1 << 14):
+                part = others[j : j + (1 << 14)]
+                r, c = np.nonzero(np.bitwise_count(points[rows[i : i + STRIPE]][:, None] ^ points[part][None, :]) <= reach)
+                cuts = np.searchsorted(r, np.arange(len(rows[i : i + STRIPE]) + 1))
+                for k in np.flatnonzero(np.diff(cuts)).tolist():
+                    at, to = rows[i + k], c[cuts[k] : cuts[k + 1]]
+                    to = part[to[to + j > i + k]] if each_once else part[to]
+                    # Sets of such unlike sizes cannot be alike enough; one more than that, as products are rounded.
+                    to = to[(name[to] != name[at]) & (np.minimum(size[to], size[at]) + 1 >= least * np.maximum(size[to], size[at]))]
+                    if not len(to):
+                        continue
+                    mine = tokens[start[at] : start[at + 1]]
+                    mark[mine] = True
+                    upto = np.concatenate(([0], np.cumsum(size[to])))
+                    held = np.arange(upto[-1]) + np.repeat(start[to] - upto[:-1], size[to])
+                    hits = np.concatenate(([0], np.cumsum(mark[tokens[held]])))
+                    mark[mine] = False
+                    both = hits[upto[1:]] - hits[upto[:-1]]
+                    either = size[to] + size[at] - both
+                    for other in to[(either == 0) | (both / np.maximum(either, 1) >= least)].tolist():
+                        if name[other] != name[at]:
+                            out.append((int(at), other))
+                            name[name == name[other]] = name[at]
+    return out
+
+
 def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach: int = RADIUS, shingle: int = COPY_SHINGLE, least: float = COPY_LEAST) -> DataFrame:
     """``doc_id``, ``_text_key``, ``component_id`` and ``_group`` for each row of ``docs``.
 
@@ -352,7 +409,8 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
     more and one of the ``views`` fingerprints of their distinct words brings them within ``reach`` bits.
     Few comparisons come first: a text with the smallest text of its fingerprint, and that one with
     those of the smallest and the nearest fingerprint within reach. Of all other pairs within
-    reach those that are in one group by then need none, and the rest are all compared. Every link is
+    reach those that are in one group by then need none, and the rest are all compared, where their
+    texts meet; only links that join groups leave a task, never pairs. Every link is
     exact; a pair that no view brings together is missed (measured in the README). Texts
     without words are alike. Odd rows as in `near_duplicates`; ``_group`` names the group where no row has an id.
     """
@@ -403,12 +461,8 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
         return both.select("x", "y", "a", "b").mapInArrow(checked, "x long, y long").select(F.col("x").alias("a"), F.col("y").alias("b"))
 
     edges = ws.table("edges", linked(pairs))
-    rest = _pairs_between(ws, texts, seen, points, near, common.components(ws, edges), reach).join(pairs, ["x", "y"], "left_anti")
-    for end in "xy":
-        rest = rest.join(sets.select(F.col("key").alias(end), F.col("size").alias(f"size_{end}")), end)
-    # Sets of such unlike sizes cannot be alike enough; one more than that, as products are rounded.
-    rest = rest.where(F.least("size_x", "size_y") + 1 >= least * F.greatest("size_x", "size_y")).select("x", "y")
-    edges = edges.unionByName(ws.table("edges-rest", linked(ws.table("rest", rest))))
+    rest = _links_between(ws, texts, seen, points, near, common.components(ws, edges), sets, reach, least)
+    edges = edges.unionByName(ws.table("edges-rest", rest))
     groups = common.components(Workspace(docs.sparkSession, "near-copies-groups"), edges)
     named = texts.select(F.col("_text_key").alias("id"), "least").join(groups, "id", "left").withColumn("_group", F.coalesce("component", "id"))
     smallest = named.groupBy("_group").agg(F.min("least").alias("component_id"))
@@ -416,11 +470,12 @@ def near_copies(docs: DataFrame, text: str = "text", views: int = VIEWS, reach:
     return rows_of.select("doc_id", "_text_key").join(of_text, "_text_key").select("doc_id", "_text_key", "component_id", "_group")
 
 
-def _pairs_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: DataFrame, near: DataFrame, groups: DataFrame, reach: int) -> DataFrame:
-    """Pairs x < y of texts of different ``groups`` that a view brings within reach: what the first comparisons may have missed.
+def _links_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: DataFrame, near: DataFrame, groups: DataFrame, sets: DataFrame, reach: int, least: float) -> DataFrame:
+    """Links a, b that join different ``groups``: what the first comparisons may have missed, of all pairs that a view brings within reach.
 
-    Only fingerprints with a partner, or of several texts, can have such pairs. Links between two
-    fingerprints of one and the same group are left out where they are found, so the pairs of a group are never built.
+    Only fingerprints with a partner, or of several texts, can have such pairs. The texts of those that do have a place in
+    the tree as points have, with their sets. A shard is cut into chunks by a hash of the text, and each
+    pair of chunks is a task, which compares its pairs where they are: it holds ``TASK_BYTES`` of sets and gives a forest.
     """
     of_text = texts.select(F.col("_text_key").alias("id")).join(groups, "id", "left").select(F.col("id").alias("key"), F.coalesce("component", "id").alias("of"))
     fps = near.select("view", F.col("a").alias("fp")).union(near.select("view", "b")).union(points.where("n > 1").select("view", "fp")).distinct()
@@ -429,12 +484,43 @@ def _pairs_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: Dat
     # A fingerprint of several groups has a name of its own, unlike all others.
     own = F.xxhash64("fp", F.lit("several"))
     held = ws.table("held", held.select("view", "fp", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(own).alias("name"), (F.col("low") < F.col("high")).alias("several")))
-    far = ws.table("far", links(Workspace(ws.spark, "near-copies-rest"), held.select("view", "fp", "name"), reach))
-    left, right = (members.select("view", F.col("fp").alias(fp), F.col("key").alias(key), F.col("of").alias(of)) for fp, key, of in (("a", "x", "of_x"), ("b", "y", "of_y")))
-    between = far.join(left, ["view", "a"]).join(right, ["view", "b"]).where("of_x <> of_y").select("x", "y")
-    several = held.where("several").select("view", F.col("fp").alias("a"))
-    inside = left.join(several, ["view", "a"], "left_semi").join(right.withColumnRenamed("b", "a"), ["view", "a"]).where("of_x <> of_y AND x < y").select("x", "y")
-    return between.unionByName(inside).select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
+    far = links(Workspace(ws.spark, "near-copies-rest"), held.select("view", "fp", "name"), reach, ends=True).select("view", F.col("a").alias("fp"))
+    crowd = ws.table("crowd", far.union(held.where("several").select("view", "fp")).distinct())
+    tree = upper_levels(crowd)
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            of = batch.column("view").to_numpy()
+            for v in np.unique(of).tolist():
+                for shard, visits, held in routed(batch.column("fp").to_numpy().view(np.uint64)[of == v], tree, reach=reach):
+                    columns = [pa.array([x] * len(held), t) for x, t in ((v, pa.int32()), (shard, pa.int32()), (visits, pa.bool_()))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(held.view(np.int64))], ["view", "shard", "visits", "fp"])
+
+    places = crowd.mapInArrow(place, "view int, shard int, visits boolean, fp long")
+    placed = members.join(places, ["view", "fp"]).join(sets.select("key", "size"), "key")
+    placed = ws.table("placed", placed.select("view", "shard", "visits", "fp", "key", "of", "size"))
+    n = F.sum(F.greatest(8 * F.col("size"), F.lit(COPY_BYTES)))
+    chunks = F.greatest(F.ceil(2 * n / TASK_BYTES), F.least(F.ceil(n / PART_BYTES), F.lit(MOST_PARTS)))
+    cuts = placed.groupBy("view", "shard").agg(chunks.cast("int").alias("chunks"))  # a row per shard
+    cells = placed.drop("size").join(F.broadcast(cuts), ["view", "shard"]).join(sets.select("key", "set"), "key")
+    cells = cells.withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    cells = cells.select("view", "shard", F.least("chunk", "_other").alias("low"), F.greatest("chunk", "_other").alias("high"), "chunk", "visits", "fp", "key", "of", "set")
+
+    def compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        low, high = key[2].as_py(), key[3].as_py()
+        rows = pa.Table.from_batches(list(batches))
+        chunk, visits, fp, keys, of = (rows.column(c).to_numpy() for c in ("chunk", "visits", "fp", "key", "of"))
+        held = [np.frombuffer(s, "<u8") for s in rows.column("set").to_pylist()]
+        side = {(c, v): np.flatnonzero((chunk == c) & (visits == v)) for c in (low, high) for v in (False, True)}
+        homes, visitors = side[low, False], side[low, True]
+        if low == high:
+            meets = [(homes, homes), (homes, visitors)]
+        else:
+            meets = [(homes, np.concatenate((side[high, False], side[high, True]))), (side[high, False], visitors)]
+        found = np.array(copies(fp.view(np.uint64), of, held, meets, reach, least), np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(keys[found[:, 0]]), pa.array(keys[found[:, 1]])], ["a", "b"])
+
+    return cells.groupBy("view", "shard", "low", "high").applyInArrow(compare, "a long, b long")
 
 
 def without_copies(docs: DataFrame, text: str = "text", **rule) -> DataFrame:

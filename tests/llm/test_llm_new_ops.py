@@ -370,3 +370,49 @@ def test_links_between_names(spark, monkeypatch):
         monkeypatch.setattr(simhash, "TASK_POINTS", per_task)
         got = [(r.view, min(r.a, r.b), max(r.a, r.b)) for r in simhash.links(Workspace(spark, "t"), frame).collect()]
         assert sorted(got) == sorted((v, *p) for v in (0, 1) for p in want)
+
+
+def test_rest_is_compared_where_texts_meet(spark, monkeypatch):
+    """Unlike texts of the same words: all pairs are within reach, only links leave the tasks, with chunks or without."""
+    words = [f"w{i}" for i in range(120)]
+    rng = random.Random(11)
+    rows = []
+    for family in range(40):
+        rng.shuffle(words)
+        rows += [(2 * family, " ".join(words)), (2 * family + 1, " ".join([*words[:-2], words[-1], words[-2]]))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for part in (simhash.PART_BYTES, 1 << 13):
+        monkeypatch.setattr(simhash, "PART_BYTES", part)
+        made, keep = [], Workspace.table
+
+        def table(self, name, df, by=None):
+            made.append(keep(self, name, df, by))
+            return made[-1]
+
+        with monkeypatch.context() as m:
+            m.setattr(Workspace, "table", table)
+            got = {r.doc_id: r.component_id for r in simhash.near_copies(frame).collect()}
+        assert got == {i: i - i % 2 for i in range(80)}
+        # 80 texts of one fingerprint in each view: 3,160 pairs in each, of which none is a row.
+        assert max(t.count() for t in made) <= simhash.VIEWS * len(rows)
+
+
+def test_copies_join_names():
+    rng = np.random.default_rng(12)
+    base = [np.unique(rng.integers(0, 1 << 63, 60, dtype=np.uint64)) for _ in range(12)]
+    sets = [np.unique(np.concatenate((b[k:], rng.integers(0, 1 << 63, k, dtype=np.uint64)))) for b in base for k in (0, 3, 5, 9, 20)] + [base[0][:0]] * 2
+    points = rng.integers(0, 4, len(sets), dtype=np.uint64)
+    names = np.arange(len(sets)) // 2
+    places = np.arange(len(sets))
+
+    def groups(pairs):
+        label = {int(n): int(n) for n in names}
+        for a, b in pairs:
+            x, y = sorted((label[int(names[a])], label[int(names[b])]))
+            label = {k: x if v == y else v for k, v in label.items()}
+        return label
+
+    want = [(a, b) for a in range(len(sets)) for b in range(a) if int(points[a] ^ points[b]).bit_count() <= 1 and simhash.alike(sets[a], sets[b]) >= 0.8]
+    for meets in ([(places, places)], [(places[::2], places[1::2]), *[(p, p) for p in (places[::2], places[1::2])]]):
+        got = simhash.copies(points, names, sets, meets, 1, 0.8)
+        assert set(got) <= {*want, *[(b, a) for a, b in want]} and groups(got) == groups(want) and len(got) == len(set(groups([]).values())) - len(set(groups(want).values()))
