@@ -7,8 +7,10 @@ Hamming distance to vantage points (``d <= median`` is inside). Its upper levels
 from a bounded sample, are the shards. Every point has one home shard; it also visits a
 shard that a partner at ``RADIUS`` or less may call home, by the triangle bound at each
 vantage point. Of a pair that is parted at some vantage point, only the outer point
-crosses over, so a pair meets in exactly one shard. The shard's task goes on splitting
-in the same way and compares the small rests bit by bit, exactly. A shard of more than
+crosses over, so a pair meets in exactly one shard. In the shard's task, of two points within
+``RADIUS`` bits one of ``RADIUS + 1`` blocks of bits is equal, so only points that share a block are
+compared. Where so many do that this saves little, the task goes on splitting by vantage points
+and compares the small rests bit by bit; all of it is exact. A shard of more than
 ``TASK_POINTS`` points, visitors included, is cut into chunks, and each pair of chunks is
 a task of its own, so a task holds about that many at most, however the tree parts the points.
 
@@ -29,7 +31,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestone.llm import common
@@ -44,9 +46,13 @@ COPY_SHINGLE = 5
 COPY_LEAST = 0.8
 # The tree's upper levels are built from this many distinct fingerprints at most; every fingerprint is routed.
 TREE_SAMPLE = 20_000
-# Home points that a shard should have, and at which a task stops splitting.
-SHARD_POINTS = 16_000
+# Home points that a shard should have, those of a shard whose texts are compared, and at which a task stops splitting.
+SHARD_POINTS = 1 << 16
+CROWD_POINTS = 16_000
 BLOCK_POINTS = 4_096
+# Points that share a block are compared, if they are fewer than one in so many of all pairs; so many pairs at once.
+BLOCKS_SAVE = 16
+BLOCK_PAIRS = 1 << 20
 # Points, with visitors, that one task holds; a larger shard is cut into chunks that meet in pairs.
 TASK_POINTS = 1 << 20
 # Rows of the distance matrix made at once.
@@ -135,8 +141,53 @@ def routed(points: np.ndarray, tree: dict, node: int = 1, visits: bool = False,
         yield from routed(points[~inside & (far <= radius + reach)], tree, 2 * node, True, reach)
 
 
+def blocks(reach: int) -> list[tuple[np.uint64, np.uint64]]:
+    """(shift, mask) of the ``reach`` + 1 blocks that 64 bits are cut into: two points within reach are equal in one of them."""
+    cuts = [64 * i // (reach + 1) for i in range(reach + 2)]
+    return [(np.uint64(a), np.uint64((1 << (b - a)) - 1)) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def sharing(homes: np.ndarray, others: np.ndarray, reach: int, each_once: bool) -> Iterator[tuple[np.ndarray, np.ndarray]] | None:
+    """Linked pairs, in parts, of points that share a block; None if too many do. ``each_once``: both sides are the same points."""
+    of, most = [], len(homes) * len(others) // BLOCKS_SAVE
+    for shift, mask in blocks(reach):
+        mine, theirs = homes >> shift & mask, others >> shift & mask
+        order = np.argsort(theirs, kind="stable")
+        low, high = (np.searchsorted(theirs[order], mine, side) for side in ("left", "right"))
+        most -= int((high - low).sum())
+        if most < 0:
+            return None
+        of.append([x.astype(np.int32) for x in (order, low, high - low)])
+
+    def pairs() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for at, (order, low, n) in enumerate(of):
+            upto = np.cumsum(n)
+            begin = 0
+            while begin < len(n):  # as many home points as have so many pairs, one at least
+                end = max(begin + 1, int(np.searchsorted(upto, (upto[begin - 1] if begin else 0) + BLOCK_PAIRS, "right")))
+                here = n[begin:end]
+                r = np.repeat(np.arange(begin, end), here)
+                c = order[np.arange(len(r)) - np.repeat(np.cumsum(here) - here, here) + np.repeat(low[begin:end], here)]
+                keep = r < c if each_once else np.ones(len(r), bool)
+                begin = end
+                apart = homes[r] ^ others[c]
+                keep &= np.bitwise_count(apart) <= reach
+                for shift, mask in blocks(reach)[:at]:  # a pair that shares several blocks counts in the first
+                    keep &= (apart >> shift & mask) != 0
+                if keep.any():
+                    yield homes[r[keep]], others[c[keep]]
+
+    return pairs()
+
+
 def compared(homes: np.ndarray, visitors: np.ndarray, reach: int = RADIUS, own: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Linked pairs, in parts: of home points with each other (if ``own``), and with visitors."""
+    sides = ((homes, True), (visitors, False))[0 if own else 1 :]
+    found = [sharing(homes, others, reach, each_once) for others, each_once in sides] if reach < 64 else [None]
+    if all(f is not None for f in found):
+        for f in found:
+            yield from f
+        return
     split = vantage(homes) if len(homes) > BLOCK_POINTS else None
     if split:
         tree = {1: split}
@@ -216,15 +267,27 @@ def apart(points: np.ndarray, names: np.ndarray, pairs: Iterator[tuple[np.ndarra
             yield a[differ], b[differ]
 
 
-def upper_levels(points: DataFrame) -> dict[int, tuple[np.uint64, int]]:
+def upper_levels(points: DataFrame, shard: int) -> dict[int, tuple[np.uint64, int]]:
     """The tree's upper levels. All views are as large, and as random: one tree, of the first one's points, serves them all."""
     one = points.where("view = 0")
     count = one.count()
-    depth = max(0, int(np.ceil(np.log2(max(count, 1) / SHARD_POINTS))))
+    depth = max(0, int(np.ceil(np.log2(max(count, 1) / shard))))
     sample = [r.fp for r in one.where(common.share_of(count, TREE_SAMPLE, "fp")).orderBy(F.xxhash64("fp"), "fp").limit(TREE_SAMPLE).collect()] if depth else []
     return grown(np.array(sample, dtype=np.int64).view(np.uint64), depth)
 
 
+CELL = ("view", "shard", "low", "high")
+
+
+def _tasks(spark: SparkSession) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
+def _dealt(cells: DataFrame) -> DataFrame:
+    """Cells over all tasks. The count is explicit, as the adaptive shuffle counts bytes, and cells of few bytes are long work."""
+    return cells.repartition(_tasks(cells.sparkSession), *CELL)
+
+
 def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest, ends: bool = False) -> DataFrame:
     """Edges a, b (signed longs) of the distinct fingerprints ``fp``, within each ``view`` if there is that column.
 
@@ -234,7 +297,7 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest, e
     """
     views, named = "view" in points.columns, "name" in points.columns
     points = points.select(F.col("view") if views else F.lit(0).alias("view"), "fp", *(["name"] if named else []))
-    tree = upper_levels(points)
+    tree = upper_levels(points, SHARD_POINTS)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -302,7 +365,7 @@ def links(ws: Workspace, points: DataFrame, reach: int = RADIUS, found=forest, e
             yield pa.RecordBatch.from_arrays(columns, ["view", "a", "b"])
 
     cells = shards.mapInArrow(cut, "view int, shard int, low int, high int, chunk int, visits boolean, points binary, names binary")
-    groups = cells.groupBy("view", "shard", "low", "high")
+    groups = _dealt(cells).groupBy(*CELL)
     edges = groups.applyInArrow(join_apart if named else lambda k, t: join(k, t), "view int, a long, b long")
     return edges if views else edges.drop("view")
 
@@ -486,7 +549,7 @@ def _links_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: Dat
     held = ws.table("held", held.select("view", "fp", F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(own).alias("name"), (F.col("low") < F.col("high")).alias("several")))
     far = links(Workspace(ws.spark, "near-copies-rest"), held.select("view", "fp", "name"), reach, ends=True).select("view", F.col("a").alias("fp"))
     crowd = ws.table("crowd", far.union(held.where("several").select("view", "fp")).distinct())
-    tree = upper_levels(crowd)
+    tree = upper_levels(crowd, CROWD_POINTS)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -499,9 +562,14 @@ def _links_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: Dat
     places = crowd.mapInArrow(place, "view int, shard int, visits boolean, fp long")
     placed = members.join(places, ["view", "fp"]).join(sets.select("key", "size"), "key")
     placed = ws.table("placed", placed.select("view", "shard", "visits", "fp", "key", "of", "size"))
-    n = F.sum(F.greatest(8 * F.col("size"), F.lit(COPY_BYTES)))
-    chunks = F.greatest(F.ceil(2 * n / TASK_BYTES), F.least(F.ceil(n / PART_BYTES), F.lit(MOST_PARTS)))
-    cuts = placed.groupBy("view", "shard").agg(chunks.cast("int").alias("chunks"))  # a row per shard
+    sizes = placed.groupBy("view", "shard").agg(F.sum(F.greatest(8 * F.col("size"), F.lit(COPY_BYTES))).alias("n"))
+    sizes = ws.table("sizes", sizes)  # a row per shard
+    # Each text is sent to as many cells as its shard has chunks, so a shard is cut further only as far as its part of
+    # the work, which grows as the square of its size, is more than a task's.
+    work = float(sizes.agg(F.sum(F.col("n").cast("double") * F.col("n"))).first()[0] or 1)
+    even = F.ceil(F.sqrt(2 * _tasks(ws.spark) * (F.col("n").cast("double") * F.col("n") / work)))
+    chunks = F.greatest(F.ceil(2 * F.col("n") / TASK_BYTES), F.least(even, F.ceil(F.col("n") / PART_BYTES), F.lit(MOST_PARTS)), F.lit(1))
+    cuts = sizes.select("view", "shard", chunks.cast("int").alias("chunks"))
     cells = placed.drop("size").join(F.broadcast(cuts), ["view", "shard"]).join(sets.select("key", "set"), "key")
     cells = cells.withColumn("chunk", F.pmod(F.xxhash64("key"), "chunks").cast("int")).withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     cells = cells.select("view", "shard", F.least("chunk", "_other").alias("low"), F.greatest("chunk", "_other").alias("high"), "chunk", "visits", "fp", "key", "of", "set")
@@ -520,7 +588,7 @@ def _links_between(ws: Workspace, texts: DataFrame, seen: DataFrame, points: Dat
         found = np.array(copies(fp.view(np.uint64), of, held, meets, reach, least), np.int64).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays([pa.array(keys[found[:, 0]]), pa.array(keys[found[:, 1]])], ["a", "b"])
 
-    return cells.groupBy("view", "shard", "low", "high").applyInArrow(compare, "a long, b long")
+    return _dealt(cells).groupBy(*CELL).applyInArrow(compare, "a long, b long")
 
 
 def without_copies(docs: DataFrame, text: str = "text", **rule) -> DataFrame:

@@ -416,3 +416,40 @@ def test_copies_join_names():
     for meets in ([(places, places)], [(places[::2], places[1::2]), *[(p, p) for p in (places[::2], places[1::2])]]):
         got = simhash.copies(points, names, sets, meets, 1, 0.8)
         assert set(got) <= {*want, *[(b, a) for a, b in want]} and groups(got) == groups(want) and len(got) == len(set(groups([]).values())) - len(set(groups(want).values()))
+
+
+def test_few_points_are_compared(monkeypatch):
+    """Of unlike points only those that share a block of bits meet; crowded ones, which all do, are parted by vantage points."""
+    rng = np.random.default_rng(13)
+    middles = rng.integers(0, 1 << 63, 6_000, dtype=np.uint64)
+    points = np.unique(np.concatenate((middles, middles[:500] ^ (np.uint64(7) << rng.integers(0, 61, 500, dtype=np.uint64)))))
+    asked, count = [], np.bitwise_count
+    with monkeypatch.context() as m:
+        m.setattr(np, "bitwise_count", lambda x: asked.append(x.size) or count(x))
+        found = [p for a, b in simhash.compared(points[::2], points[1::2]) for p in zip(a.tolist(), b.tolist(), strict=True)]
+    assert sum(asked) < len(points) ** 2 // 100
+    own = set(points[::2].tolist())
+    r, c = np.nonzero(np.triu(count(points[:, None] ^ points[None, :]) <= simhash.RADIUS, 1))
+    want = [p for p in zip(points[r].tolist(), points[c].tolist(), strict=True) if own & set(p)]
+    assert len(want) > 100 and sorted(tuple(sorted(p)) for p in found) == want
+    for reach in (0, 1, 5, 64):
+        few = np.unique(rng.integers(0, 1 << 10, 60, dtype=np.uint64))
+        got = sorted(tuple(sorted(p)) for a, b in simhash.compared(few, few[:0], reach) for p in zip(a.tolist(), b.tolist(), strict=True))
+        assert got == [(x, y) for i, x in enumerate(few.tolist()) for y in few.tolist()[i + 1 :] if (x ^ y).bit_count() <= reach]
+
+
+def test_many_shards_are_not_cut(spark, monkeypatch):
+    """Texts travel once for each chunk of their shard: where the shards are as many as the tasks, none is cut."""
+    words = [f"w{i}" for i in range(120)]
+    rng = random.Random(14)
+    rows = []
+    for family in range(40):
+        rng.shuffle(words)
+        rows += [(2 * family, " ".join(words)), (2 * family + 1, " ".join([*words[:-2], words[-1], words[-2]]))]
+    monkeypatch.setattr(simhash, "PART_BYTES", 1 << 10)
+    cells, dealt = [], simhash._dealt
+    monkeypatch.setattr(simhash, "_dealt", lambda df: cells.append(df) or dealt(df))
+    monkeypatch.setattr(simhash, "_tasks", lambda spark: 8)
+    simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    # A shard in each view: two chunks at most, as eight tasks have work then.
+    assert cells[-1].groupBy("view", "key").count().agg(F.max("count")).first()[0] <= 2

@@ -1,6 +1,8 @@
 """Physical plans that must stay as they are."""
 
 import re
+import time
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import functions as F
 
@@ -63,3 +65,23 @@ def test_a_source_reads_its_own_captures(spark, sf):
         for df in (extract.cards(spec, bronze[spec.bronze]), extract.pages_of(spec, bronze[spec.bronze])):
             filters = plan(df).split("PartitionFilters:")[1].split("PushedFilters")[0]
             assert f"= {spec.source})" in filters and "(kind#" in filters
+
+
+def test_written_tables_leave_no_shuffle_files(spark):
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffles():
+        return {f for f in blocks.getAllFiles().mkString("\n").split("\n") if "/shuffle_" in f}
+
+    before, name = shuffles(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    conf = spark.conf.get(name)
+    rows = spark.range(1_000).groupBy((F.col("id") % 7).alias("k")).count()
+    with ThreadPoolExecutor(3) as pool:  # jobs at the same time share the session's setting
+        tables = list(pool.map(lambda i: Workspace(spark, "t").table(f"rows-{i}", rows), range(3)))
+    for _ in range(100):  # they are removed on the side
+        if not shuffles() - before:
+            break
+        time.sleep(0.1)
+    assert not shuffles() - before
+    assert spark.conf.get(name) == conf
+    assert [t.count() for t in tables] == [7, 7, 7]
